@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The modelled workload is a batch full refresh: every load overwrites its
+table, and there is no stream source, watermark, stateful operator or
+incremental merge to reproduce. Nothing here is built on purpose; see README.
+"""
