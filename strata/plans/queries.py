@@ -34,7 +34,7 @@ RANGE_FROM, RANGE_TO = 1997 * 12, 1999 * 12 + 11
 
 
 def _t(spark: SparkSession, sf_dir: str) -> TestTables:
-    return TestTables(spark, sf_dir)
+    return TestTables.of(spark, sf_dir)
 
 
 def _silver(name: str) -> Query:

@@ -60,14 +60,31 @@ def _null(typ: str) -> Column:
 
 
 class TestTables:
-    """Lazy access to ``<root>/<name>.parquet`` plus the bronze stand-ins."""
+    """Lazy access to ``<root>/<name>.parquet`` plus the bronze stand-ins.
+
+    DataFrames are immutable plans, so every frame built here is memoised:
+    queries that share a table share its (already analysed) plan.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        self._tables: dict[str, DataFrame] = {}
+        self._silver: dict[str, DataFrame] = {}
+        self._gold: dict[tuple[str, bool], DataFrame] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, root: str) -> "TestTables":
+        key = (id(spark), root)
+        cached = _INSTANCES.get(key)
+        if cached is None or cached.spark is not spark:
+            cached = _INSTANCES[key] = cls(spark, root)
+        return cached
 
     def table(self, name: str) -> DataFrame:
-        return read_parquet_table(self.spark, self.root, name)
+        if name not in self._tables:
+            self._tables[name] = read_parquet_table(self.spark, self.root, name)
+        return self._tables[name]
 
     # -- bronze stand-ins -------------------------------------------------------
     def circuits(self) -> DataFrame:
@@ -155,26 +172,33 @@ class TestTables:
         return ranked.select("driverStandingsId", "raceId", "driverId", "points", "position",
                              F.col("position").cast("string").alias("positionText"), "wins")
 
-    # -- silver / gold built from the stand-ins (cached per instance) -------------
+    # -- silver / gold built from the stand-ins (memoised, built on first use) ------
     @cached_property
-    def silver(self):
+    def silver(self) -> "_Lazy":
         from strata.plans import silver
-        races = silver.dim_races(self.races())
-        status = silver.dim_status(self.status())
-        return {
-            "dim_circuits": silver.dim_circuits(self.circuits()),
-            "dim_drivers": silver.dim_drivers(self.drivers()),
-            "dim_constructors": silver.dim_constructors(self.constructors()),
-            "dim_status": status,
-            "dim_races": races,
-            "fact_results": silver.fact_results(
-                self.results(), races, status, finished_value=STANDIN_FINISHED_STATUS,
-                lapped_pattern=STANDIN_LAPPED_PATTERN),
-            "fact_driver_standings": silver.fact_driver_standings(
-                self.driver_standings(), races),
-        }
+
+        def build(name: str) -> DataFrame:
+            s = self.silver
+            if name == "fact_results":
+                return silver.fact_results(
+                    self.results(), s["dim_races"], s["dim_status"],
+                    finished_value=STANDIN_FINISHED_STATUS,
+                    lapped_pattern=STANDIN_LAPPED_PATTERN)
+            if name == "fact_driver_standings":
+                return silver.fact_driver_standings(self.driver_standings(), s["dim_races"])
+            source = {"dim_circuits": self.circuits, "dim_drivers": self.drivers,
+                      "dim_constructors": self.constructors, "dim_status": self.status,
+                      "dim_races": self.races}[name]
+            return getattr(silver, name)(source())
+        return _Lazy(build)
 
     def gold(self, name: str, *, windowed: bool = False) -> DataFrame:
+        key = (name, windowed)
+        if key not in self._gold:
+            self._gold[key] = self._build_gold(name, windowed)
+        return self._gold[key]
+
+    def _build_gold(self, name: str, windowed: bool) -> DataFrame:
         from strata.plans import gold
         s = self.silver
         if name == "constructor_career":
@@ -193,3 +217,19 @@ class TestTables:
                 self.gold("driver_career"),
                 self.gold("season_champions", windowed=windowed), windowed=windowed)
         raise KeyError(name)
+
+
+class _Lazy:
+    """A read-only mapping whose values are built on first access."""
+
+    def __init__(self, build):
+        self._build = build
+        self._values: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._values:
+            self._values[name] = self._build(name)
+        return self._values[name]
+
+
+_INSTANCES: dict[tuple[int, str], TestTables] = {}
