@@ -1,12 +1,10 @@
 """Rankings, top-k and sorted read-back.
 
-``global_rank`` is the scalable form of ``rank().over(Window.orderBy(...))``.
-The plain form has no partition key, so Spark moves the whole table into a
-single task (``Exchange SinglePartition``). Here only the *distinct values* of
-the ordering column are ranked: count the rows per value, rank the values by a
-running sum of counts, and join the rank back null-safely. For counts such as
-wins, the distinct values are a few hundred however many rows there are. Ties,
-gaps after ties, and nulls-last all behave exactly like the window form.
+``rank_values`` and ``global_rank`` are the scalable forms of
+``rank().over(Window[.partitionBy(g)].orderBy(v))``. The plain forms move a
+whole group, or without a partition key the whole table (``Exchange
+SinglePartition``), into one task. ``rank_within`` keeps the plain window for
+inputs whose groups are many and small, and for ``row_number``.
 """
 
 from __future__ import annotations
@@ -37,9 +35,91 @@ def global_rank_window(df: DataFrame, order_by: str, output: str, method: str =
     return df.withColumn(output, _RANKERS[method]().over(w))
 
 
+def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, output: str,
+                method: str = "rank", descending: bool = True, buckets: int = 64) -> DataFrame:
+    """Exact ``rank`` / ``dense_rank`` per group, with no task holding a whole group.
+
+    A window partitioned by season runs one task per season: parallelism is
+    capped by the number of seasons, and a season holding a third of the rows
+    is a third of the work in one task. Here:
+
+    1. rows collapse to one per (group, value) with their count (partial
+       aggregation, so a hot value costs one row per task);
+    2. each group's value range [min, max] (exact, so every evaluation
+       agrees) is cut into ``buckets`` equal-width slices; ties always share a
+       slice, and slices are ordered like the values;
+    3. per (group, slice) totals, and their running sums per group, give each
+       slice its offset (a table of groups x buckets rows);
+    4. values are ranked inside their (group, slice) and the offset is added;
+    5. the rank is joined back on (group, value), null-safely.
+
+    Results equal ``rank()`` / ``dense_rank()`` over
+    ``Window.partitionBy(*partition_by).orderBy(order_by)``, with nulls last
+    when descending and first when ascending.
+    """
+    if method not in ("rank", "dense_rank"):
+        raise ValueError("rank_values supports 'rank' and 'dense_rank'")
+    keys = list(partition_by)
+    v, n, b = "__rank_value", "__rank_rows", "__rank_slice"
+    values = df.groupBy(*keys, F.col(order_by).alias(v)).agg(F.count(F.lit(1)).alias(n))
+    if keys:
+        stats = values.groupBy(*keys).agg(F.min(v).alias("__lo"), F.max(v).alias("__hi"))
+        x, lo, hi = (F.col(c).cast("double") for c in (v, "__lo", "__hi"))
+        with_stats = _join_on_keys(values, stats, keys)
+    else:
+        # one group: its range is two scalars (one small aggregate job)
+        row = values.agg(F.min(v).cast("double").alias("lo"),
+                         F.max(v).cast("double").alias("hi")).first()
+        x = F.col(v).cast("double")
+        lo, hi = F.lit(row["lo"]).cast("double"), F.lit(row["hi"]).cast("double")
+        with_stats = values.withColumns({"__lo": lo, "__hi": hi})
+    pos = (hi - x) if descending else (x - lo)
+    slice_ = (F.when(F.col(v).isNull(), F.lit(buckets if descending else -1))
+              .when(hi > lo, F.least(F.floor(pos / (hi - lo) * buckets),
+                                     F.lit(buckets - 1)))
+              .otherwise(F.lit(0)).cast("int"))
+    tagged = with_stats.withColumn(b, slice_).drop("__lo", "__hi")
+    weight = F.col(n) if method == "rank" else F.lit(1)
+    per_slice = tagged.groupBy(*keys, b).agg(F.sum(weight).alias("__slice_weight"))
+    before = (Window.partitionBy(*keys).orderBy(b)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = per_slice.select(*keys, b, F.coalesce(F.sum("__slice_weight").over(before),
+                                                   F.lit(0)).alias("__offset"))
+    inside = (Window.partitionBy(*keys, b).orderBy(_order(v, descending))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    ranked = (_join_on_keys(tagged, offsets, [*keys, b])
+              .select(*keys, v, (F.col("__offset") + F.coalesce(F.sum(weight).over(inside),
+                                                                F.lit(0)) + 1)
+                      .cast("int").alias(output)))
+    return _join_on_keys(df, ranked, keys, value=(order_by, v)).drop(v)
+
+
+def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                  value: tuple[str, str] | None = None) -> DataFrame:
+    """Inner join on same-named key columns, null-safe; keeps the left's keys."""
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
+    if value is not None:
+        cond.append(left[value[0]].eqNullSafe(r[value[1]]))
+    joined = left.join(r, cond, "inner")
+    return joined.drop(*[f"__r_{k}" for k in keys])
+
+
 def global_rank(df: DataFrame, order_by: str, output: str, method: str = "rank",
-                descending: bool = True) -> DataFrame:
-    """Table-wide ``rank`` / ``dense_rank`` without a single-partition window."""
+                descending: bool = True, strategy: str = "distinct",
+                buckets: int = 64) -> DataFrame:
+    """Table-wide ``rank`` / ``dense_rank`` without moving the rows into one task.
+
+    ``strategy="distinct"`` (default, for counts such as wins): only the
+    distinct values are ranked in one window (their number is bounded by the
+    largest count, not by the rows), then the rank is joined back null-safely.
+    ``strategy="split"``: ``rank_values`` with one group, for continuous
+    columns whose distinct values grow with the data (one small job computes
+    the value range first).
+    """
+    if strategy == "split":
+        return rank_values(df, [], order_by, output, method, descending, buckets)
     if method not in ("rank", "dense_rank"):
         raise ValueError("global_rank supports 'rank' and 'dense_rank'")
     value = "__rank_value"
@@ -51,8 +131,7 @@ def global_rank(df: DataFrame, order_by: str, output: str, method: str = "rank",
     else:
         rank_col = F.dense_rank().over(w_values)
     ranks = counts.select(value, rank_col.alias(output))
-    joined = df.join(ranks, df[order_by].eqNullSafe(ranks[value]), "inner")
-    return joined.drop(value)
+    return df.join(ranks, df[order_by].eqNullSafe(ranks[value]), "inner").drop(value)
 
 
 def top_k(df: DataFrame, order_by: Sequence[Column | str], k: int) -> DataFrame:

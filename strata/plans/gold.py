@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.enrich import exclude_keys, inner_enrich
-from strata.operators.ranking import global_rank, global_rank_window, rank_within
+from strata.operators.ranking import (global_rank, global_rank_window, rank_values,
+                                      rank_within)
 from strata.operators.rollups import career_aggregates, season_totals
 from strata.operators.snapshots import last_round_leaders
 from strata.operators.streaks import consecutive_streaks
@@ -39,10 +40,19 @@ def season_totals_by_constructor(fact: DataFrame, constructors: DataFrame) -> Da
             .agg(*season_totals()))
 
 
-def constructor_standings(fact: DataFrame, constructors: DataFrame) -> DataFrame:
-    """Season totals ranked per season with dense_rank (ties share a rank)."""
+def constructor_standings(fact: DataFrame, constructors: DataFrame, *,
+                          windowed: bool = False) -> DataFrame:
+    """Season totals ranked per season with dense_rank (ties share a rank).
+
+    The default splits every season into value slices (``rank_values``), so
+    neither the number of seasons nor one big season limits the parallelism.
+    """
     totals = season_totals_by_constructor(fact, constructors)
-    return rank_within(totals, ["race_year"], "total_points", "season_rank", "dense_rank")
+    if windowed:
+        return rank_within(totals, ["race_year"], "total_points", "season_rank", "dense_rank")
+    ranked = rank_values(totals, ["race_year"], "total_points", "season_rank", "dense_rank")
+    return ranked.select("race_year", "constructor_id", "constructor_name", "total_points",
+                         "wins", "podiums", "season_rank")
 
 
 def constructor_dominance(standings: DataFrame, min_length: int = 2) -> DataFrame:

@@ -1,7 +1,7 @@
 """The registered queries: one per operator row of the inventory.
 
 Each callable takes ``(spark, sf_dir)`` and returns a DataFrame that reads the
-whole test tables (through ``TestTables``). Queries that exercise sinks write
+whole test tables (through ``StandInTables``). Queries that exercise sinks write
 to a fresh location below the shared checkpoint folder and return the
 read-back frame.
 """
@@ -24,7 +24,7 @@ from strata.session import scratch_path
 from strata.sinks.tables import check_contract, create_layer, overwrite_table
 from strata.sources.csv import ingest, read_csv_positional
 from strata.sources.exports import export_races_csv
-from strata.sources.standins import TestTables
+from strata.sources.standins import StandInTables
 from strata.sources.tables import read_table, sql_readback
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,8 +33,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 RANGE_FROM, RANGE_TO = 1997 * 12, 1999 * 12 + 11
 
 
-def _t(spark: SparkSession, sf_dir: str) -> TestTables:
-    return TestTables.of(spark, sf_dir)
+def _t(spark: SparkSession, sf_dir: str) -> StandInTables:
+    return StandInTables.of(spark, sf_dir)
 
 
 def _silver(name: str) -> Query:
@@ -161,7 +161,7 @@ def _fact_flag(flag: str, source: str) -> Query:
 # ---- aggregates, windows -----------------------------------------------------------
 def conditional_counts(spark, sf_dir):
     from strata.functions.columns import conditional_count
-    fact = _t(spark, sf_dir).silver["fact_results"]
+    fact = _t(spark, sf_dir).stored("fact_results")
     return fact.groupBy("driver_id").agg(
         conditional_count("is_win").alias("total_wins"),
         conditional_count("is_podium").alias("total_podiums"),
@@ -186,7 +186,7 @@ def entity_row_number(spark, sf_dir):
 def driver_season_streaks(spark, sf_dir):
     """The gaps-and-islands operator over every driver's active seasons."""
     from strata.operators.streaks import consecutive_streaks
-    standings = _t(spark, sf_dir).silver["fact_driver_standings"]
+    standings = _t(spark, sf_dir).stored("fact_driver_standings")
     seasons = standings.select("driver_id", "race_year").distinct()
     return consecutive_streaks(seasons, ["driver_id"], "race_year")
 

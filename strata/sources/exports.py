@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.session import scratch_path
-from strata.sources.standins import TestTables
+from strata.sources.standins import StandInTables
 
 # Raw races header plus the trailing column every source file carries.
 RACES_EXPORT_HEADER = ["raceId", "year", "round", "circuitId", "name", "date", "time", "url",
                        "source"]
 
 
-def races_export_frame(tables: TestTables) -> DataFrame:
+def races_export_frame(tables: StandInTables) -> DataFrame:
     """All orders (pending ones included) as raw race rows, every value text.
 
     Pending low-priority orders get an unparsable key (``x<key>``), pending
@@ -41,7 +41,7 @@ def races_export_frame(tables: TestTables) -> DataFrame:
         F.lit("testdata").alias("source"))
 
 
-def export_races_csv(tables: TestTables) -> str:
+def export_races_csv(tables: StandInTables) -> str:
     path = scratch_path(tables.spark, "races-csv")
     (races_export_frame(tables).write.mode("overwrite")
      .option("header", True).option("escape", '"').csv(path))

@@ -33,9 +33,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.ranking import rank_values
 from strata.sources.tables import read_parquet_table
 
 # --- Fixed values: the stand-in's finished rule (text, pattern) ------------------
@@ -59,7 +60,7 @@ def _null(typ: str) -> Column:
     return F.lit(None).cast(typ)
 
 
-class TestTables:
+class StandInTables:
     """Lazy access to ``<root>/<name>.parquet`` plus the bronze stand-ins.
 
     DataFrames are immutable plans, so every frame built here is memoised:
@@ -72,15 +73,32 @@ class TestTables:
         self._tables: dict[str, DataFrame] = {}
         self._silver: dict[str, DataFrame] = {}
         self._gold: dict[tuple[str, bool], DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}
 
     @classmethod
-    def of(cls, spark: SparkSession, root: str) -> "TestTables":
+    def of(cls, spark: SparkSession, root: str) -> "StandInTables":
         key = (id(spark), root)
         cached = _INSTANCES.get(key)
         if cached is None or cached.spark is not spark:
             cached = _INSTANCES[key] = cls(spark, root)
         return cached
 
+    def reset_plans(self) -> None:
+        """Forget built silver / gold plans (table reads stay cached)."""
+        self._gold.clear()
+        self.__dict__.pop("silver", None)
+
+    def stored(self, name: str) -> DataFrame:
+        """A silver table as the gold layer sees it: written once as Parquet
+        below the shared checkpoint folder, then read back (column pruning,
+        pushed filters, and lineage cut at the layer boundary)."""
+        if name not in self._stored:
+            from strata.session import scratch_path
+            path = scratch_path(self.spark, f"silver-{name}")
+            self.silver[name].write.mode("overwrite").parquet(path)
+            self._stored[name] = self.spark.read.parquet(path)
+        return self._stored[name]
+
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = read_parquet_table(self.spark, self.root, name)
@@ -167,8 +185,7 @@ class TestTables:
                           F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
                           .alias("points"),
                           F.count_if(F.col("o_orderstatus") == "F").cast("int").alias("wins")))
-        w = Window.partitionBy("__season", "__round").orderBy(F.col("points").desc())
-        ranked = per_round.withColumn("position", F.rank().over(w))
+        ranked = rank_values(per_round, ["__season", "__round"], "points", "position", "rank")
         return ranked.select("driverStandingsId", "raceId", "driverId", "points", "position",
                              F.col("position").cast("string").alias("positionText"), "wins")
 
@@ -200,15 +217,17 @@ class TestTables:
 
     def _build_gold(self, name: str, windowed: bool) -> DataFrame:
         from strata.plans import gold
-        s = self.silver
+        s = _Lazy(self.stored)
         if name == "constructor_career":
             return gold.constructor_career(s["fact_results"], s["dim_constructors"])
         if name == "driver_career":
             return gold.driver_career(s["fact_results"], s["dim_drivers"])
         if name == "constructor_standings":
-            return gold.constructor_standings(s["fact_results"], s["dim_constructors"])
+            return gold.constructor_standings(s["fact_results"], s["dim_constructors"],
+                                              windowed=windowed)
         if name == "constructor_dominance":
-            return gold.constructor_dominance(self.gold("constructor_standings"))
+            return gold.constructor_dominance(
+                self.gold("constructor_standings", windowed=windowed))
         if name == "season_champions":
             return gold.season_champions(s["fact_driver_standings"], s["dim_drivers"],
                                          windowed=windowed)
@@ -232,4 +251,4 @@ class _Lazy:
         return self._values[name]
 
 
-_INSTANCES: dict[tuple[int, str], TestTables] = {}
+_INSTANCES: dict[tuple[int, str], StandInTables] = {}

@@ -16,11 +16,13 @@ def _sorted(df):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 @pytest.mark.parametrize("method", ["rank", "dense_rank"])
 @pytest.mark.parametrize("descending", [True, False])
-def test_global_rank_matches_window(spark, seed, method, descending):
+@pytest.mark.parametrize("strategy", ["distinct", "split"])
+def test_global_rank_matches_window(spark, seed, method, descending, strategy):
     rng = random.Random(seed)
     rows = [(i, rng.choice([None, *range(12)])) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, wins int")
-    fast = global_rank(df, "wins", "r", method, descending).select("id", "wins", "r")
+    fast = global_rank(df, "wins", "r", method, descending, strategy=strategy)
+    fast = fast.select("id", "wins", "r")
     plain = global_rank_window(df, "wins", "r", method, descending).select("id", "wins", "r")
     assert _sorted(fast) == _sorted(plain)
 
@@ -45,3 +47,30 @@ def test_global_rank_has_no_single_partition_exchange_on_rows(spark):
     plan = global_rank(df, "wins", "r")._jdf.queryExecution().executedPlan().toString()
     # the only single-partition window runs over distinct values, joined back
     assert "Join" in plan or "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+@pytest.mark.parametrize("method", ["rank", "dense_rank"])
+@pytest.mark.parametrize("descending", [True, False])
+@pytest.mark.parametrize("buckets", [1, 3, 64])
+def test_rank_values_matches_partitioned_window(spark, seed, method, descending, buckets):
+    from strata.operators.ranking import rank_values, rank_within
+    rng = random.Random(seed)
+    # one hot group, a null group, ties, nulls, and continuous values
+    rows = [(i, rng.choice([None, 1, 1, 1, 1, 2, 3]),
+             rng.choice([None, 0.5, 1.0, 1.0, rng.uniform(-50, 50), float(rng.randint(0, 9))]))
+            for i in range(2500)]
+    df = spark.createDataFrame(rows, "id long, season int, points double")
+    fast = rank_values(df, ["season"], "points", "r", method, descending, buckets)
+    plain = rank_within(df, ["season"], "points", "r", method, descending)
+    cols = ["id", "season", "points", "r"]
+    assert _sorted(fast.select(*cols)) == _sorted(plain.select(*cols))
+
+
+def test_rank_values_two_keys_and_constant_group(spark):
+    from strata.operators.ranking import rank_values, rank_within
+    rows = [(i % 3, i % 2, 7.0 if i % 3 == 0 else float(i % 11)) for i in range(600)]
+    df = spark.createDataFrame(rows, "a int, b int, v double")
+    fast = rank_values(df, ["a", "b"], "v", "r", "dense_rank")
+    plain = rank_within(df, ["a", "b"], "v", "r", "dense_rank")
+    assert _sorted(fast) == _sorted(plain)
