@@ -1,11 +1,14 @@
 """Dimension joins: left enrichment, inner lookup, anti join, key checks.
 
 The physical strategy is left to Spark. With AQE on, a join side whose
-*measured* shuffle output is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-is converted to a broadcast at run time, and a larger one stays a sort-merge
-join (skewed partitions split by AQE's skew-join handling). That is the size
-check: nothing here is broadcast by hint, because a dimension's size grows with
-the data.
+*measured* shuffle output is small becomes a broadcast at run time, and a
+larger one stays a sort-merge join (skewed partitions split by AQE's skew-join
+handling). Dimensions that grow with the data are never hinted.
+
+``broadcast_if_small`` is for sides whose size is bounded by the data model
+(status codes, one row per season, one row per distinct win count) but whose
+size the static planner cannot see. Without it, the big side would be shuffled
+on a handful of keys before AQE could convert the join.
 """
 
 from __future__ import annotations
@@ -16,6 +19,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after checking that it has at most ``max_rows`` rows.
+
+    If Catalyst's own estimate is already under the broadcast threshold, Spark
+    broadcasts it anyway and no job runs. Otherwise one job counts at most
+    ``max_rows + 1`` rows; above the bound the frame is returned unchanged and
+    the join stays a shuffle join.
+    """
+    spark = df.sparkSession
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    limit = _bytes(threshold)
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if 0 <= limit and int(str(estimate)) <= limit:
+        return df
+    rows = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if rows <= max_rows else df
+
+
+def _bytes(text: str) -> int:
+    text = str(text).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+             "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if text.endswith(suffix):
+            return int(float(text[: -len(suffix)]) * units[suffix])
+    return int(text)
+
+
 def _narrow(dim: DataFrame, keys: Sequence[str], columns: Sequence[str] | None) -> DataFrame:
     if columns is None:
         return dim

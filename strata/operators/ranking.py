@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.enrich import broadcast_if_small
+
 _RANKERS = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}
 
 
@@ -63,7 +65,9 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
     v, n, b = "__rank_value", "__rank_rows", "__rank_slice"
     values = df.groupBy(*keys, F.col(order_by).alias(v)).agg(F.count(F.lit(1)).alias(n))
     if keys:
-        stats = values.groupBy(*keys).agg(F.min(v).alias("__lo"), F.max(v).alias("__hi"))
+        # from the input, not from `values`: the two aggregates run side by side
+        stats = df.groupBy(*keys).agg(F.min(order_by).alias("__lo"),
+                                      F.max(order_by).alias("__hi"))
         x, lo, hi = (F.col(c).cast("double") for c in (v, "__lo", "__hi"))
         with_stats = _join_on_keys(values, stats, keys)
     else:
@@ -130,7 +134,7 @@ def global_rank(df: DataFrame, order_by: str, output: str, method: str = "rank",
         rank_col = (F.coalesce(F.sum("__rows").over(before), F.lit(0)) + 1).cast("int")
     else:
         rank_col = F.dense_rank().over(w_values)
-    ranks = counts.select(value, rank_col.alias(output))
+    ranks = broadcast_if_small(counts.select(value, rank_col.alias(output)))
     return df.join(ranks, df[order_by].eqNullSafe(ranks[value]), "inner").drop(value)
 
 

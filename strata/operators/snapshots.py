@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.enrich import broadcast_if_small
+
 
 def last_round_rows(df: DataFrame, season: str, round_col: str) -> DataFrame:
-    last = df.groupBy(F.col(season).alias("__season")).agg(
-        F.max(round_col).alias("__last_round"))
+    last = broadcast_if_small(df.groupBy(F.col(season).alias("__season")).agg(
+        F.max(round_col).alias("__last_round")))          # one row per season
     cond = df[season].eqNullSafe(last["__season"]) & (df[round_col] == last["__last_round"])
     return df.join(last, cond, "inner").drop("__season", "__last_round")
 

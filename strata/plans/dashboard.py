@@ -45,3 +45,11 @@ def season_range(df: DataFrame, first: int, last: int, season: str = "race_year"
 def top_n_of_season(standings: DataFrame, season: int, n: int = 5) -> DataFrame:
     """Top n of one selected season; ties on points share a rank and are all kept."""
     return top_k_per_group(standings.filter(F.col("race_year") == season), "season_rank", n)
+
+
+def top_n_of_latest_season(standings: DataFrame, n: int = 5) -> DataFrame:
+    """The season selector set to the latest season present (an equi-join with
+    the one-row max, so the season is read from the data, not from the driver)."""
+    latest = standings.agg(F.max("race_year").alias("__latest"))
+    picked = standings.join(latest, standings["race_year"] == latest["__latest"], "inner")
+    return top_k_per_group(picked.drop("__latest"), "season_rank", n)

@@ -312,6 +312,10 @@ ORDER BY total_wins DESC NULLS LAST, constructor_id ASC NULLS FIRST LIMIT 10""",
     "dash_streaks": with_ctes("""
 SELECT constructor_name, streak_start_year, streak_end_year, streak_length
 FROM constructor_dominance""", "constructor_dominance"),
+    "dash_top5_selected_season": with_ctes("""
+SELECT * FROM constructor_standings
+WHERE race_year = (SELECT max(race_year) FROM constructor_standings) AND season_rank <= 5""",
+                                           "constructor_standings"),
     "dash_top5_of_season": with_ctes(
         "SELECT * FROM constructor_standings WHERE season_rank <= 5", "constructor_standings"),
 }

@@ -279,4 +279,5 @@ QUERIES: dict[str, Query] = {
     "dash_uncrowned": dash("uncrowned", "drivers_without_title"),
     "dash_streaks": dash("streaks", "constructor_dominance"),
     "dash_top5_of_season": dash_top5_of_season,
+    "dash_top5_selected_season": dash("top_n_of_latest_season", "constructor_standings"),
 }

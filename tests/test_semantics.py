@@ -174,3 +174,19 @@ def test_types_are_int_for_counts(spark):
     df = spark.createDataFrame([(1, True, 1)], "k int, f boolean, r int")
     out = df.groupBy("k").agg(conditional_count("f").alias("n"))
     assert out.schema["n"].dataType == T.IntegerType()
+
+
+# K4 / K6 / K7 / K8: layer namespaces
+def test_layer_lifecycle(spark, tmp_path):
+    from strata.plans.pipeline import PipelineConfig, create_layers, reset_layers
+    from strata.sinks.tables import current_namespace, overwrite_table, use_layer
+    config = PipelineConfig(env="prod", catalog_base="life", warehouse_root=str(tmp_path))
+    create_layers(spark, config)
+    use_layer(spark, config.database("gold"))
+    assert current_namespace(spark) == ("spark_catalog", "life_prod_gold")
+    overwrite_table(spark.range(2).toDF("id"), config.table("gold", "driver_career"))
+    use_layer(spark, "default")
+    reset_layers(spark, config)
+    names = {d.name for d in spark.catalog.listDatabases()}
+    assert not {"life_prod_bronze", "life_prod_silver", "life_prod_gold"} & names
+    assert not (tmp_path / "life_prod_gold" / "driver_career").exists()
