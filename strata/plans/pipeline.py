@@ -9,16 +9,16 @@ dim_drivers.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.columns import project, with_audit_column
 from strata.plans import gold, schemas, silver
-from strata.sinks.tables import (create_layer, drop_layer, drop_table, overwrite_table)
+from strata.sinks.tables import create_layer, drop_layer, drop_table, overwrite_table
 from strata.sources.csv import ingest, read_csv_positional, source_path
-from strata.sources.tables import read_table
+from strata.sources.tables import read_table, sql_readback
 
 ENVIRONMENTS = ("dev", "prod")
 LAYERS = ("bronze", "silver", "gold")
@@ -32,8 +32,6 @@ class PipelineConfig:
     catalog_base: str = "strata"
     source_root: str = ""
     warehouse_root: str = ""
-    null_marker_check: bool = True
-    extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
         object.__setattr__(self, "env", self.env.strip().lower())
@@ -179,3 +177,62 @@ def read_sorted(spark: SparkSession, config: PipelineConfig, table: str) -> Data
         "drivers_without_title": [F.col("total_wins").desc(), "driver_id"],
     }
     return _read(spark, config, "gold", table).orderBy(*orders[table])
+
+
+# The read-back each load is checked with: (layer, where, order by, limit).
+READBACKS = {
+    "results": ("bronze", None, (), None),
+    "status": ("bronze", None, (), None),
+    "dim_circuits": ("silver", None, (), None),
+    "dim_constructors": ("silver", None, (), 20),
+    "dim_drivers": ("silver", None, (), 20),
+    "dim_races": ("silver", None, (), 20),
+    "dim_status": ("silver", None, (), 20),
+    "fact_driver_standings": ("silver", None, (), 20),
+    "fact_results": ("silver", None, (), 20),
+    "constructor_career": ("gold", None, ("total_points DESC", "constructor_id"), 20),
+    "constructor_standings": ("gold", "season_rank = 1", ("race_year DESC", "constructor_id"),
+                              None),
+    "constructor_dominance": ("gold", None, ("streak_length DESC", "constructor_id"), None),
+    "driver_career": ("gold", None, ("total_points DESC", "driver_id"), 20),
+    "season_champions": ("gold", None, ("race_year DESC", "driver_id"), None),
+    "drivers_without_title": ("gold", None, ("total_wins DESC", "driver_id"), 20),
+}
+
+
+def readback(spark: SparkSession, config: PipelineConfig, table: str) -> DataFrame:
+    """The SQL read-back of one table (a LIMIT without ORDER BY is a preview)."""
+    layer, where, order_by, limit = READBACKS[table]
+    return sql_readback(spark, config.table(layer, table), where=where, order_by=order_by,
+                        limit=limit)
+
+
+def main(argv: list[str] | None = None) -> int:
+    import argparse
+    import json
+
+    from strata.session import build_session
+
+    parser = argparse.ArgumentParser(description="Full refresh: raw CSV -> bronze -> silver -> gold")
+    parser.add_argument("--env", default="dev")
+    parser.add_argument("--catalog-base", default="strata")
+    parser.add_argument("--source-root", required=True, help="folder holding <entity>.csv")
+    parser.add_argument("--warehouse-root", required=True, help="folder for layer databases")
+    parser.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
+    parser.add_argument("--reset", action="store_true", help="drop the three layers and exit")
+    args = parser.parse_args(argv)
+    config = PipelineConfig(env=args.env, catalog_base=args.catalog_base,
+                            source_root=args.source_root, warehouse_root=args.warehouse_root)
+    if args.master:
+        spark = build_session(args.master)
+    else:
+        spark = SparkSession.builder.getOrCreate()
+    if args.reset:
+        reset_layers(spark, config)
+        return 0
+    print(json.dumps({"rejects": run_pipeline(spark, config)}))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

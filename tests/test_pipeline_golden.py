@@ -131,3 +131,26 @@ def test_config_validation():
     with pytest.raises(ValueError):
         PipelineConfig(env="qa")
     assert PipelineConfig(env=" Prod ").database("gold") == "strata_prod_gold"
+
+
+def test_readbacks(spark, pipeline):
+    from strata.plans.pipeline import READBACKS, readback
+    config, _ = pipeline
+    leaders = readback(spark, config, "constructor_standings").collect()
+    assert [(r.race_year, r.constructor_id) for r in leaders] == [
+        (2004, 1), (2003, 2), (2003, 3), (2002, 1), (2001, 1)]
+    top = readback(spark, config, "driver_career").collect()
+    assert [r.driver_id for r in top][:3] == [1, 2, 3]
+    for table in READBACKS:
+        assert readback(spark, config, table).count() >= 0
+
+
+def test_command_line(spark, tmp_path):
+    from strata.plans.pipeline import main
+    root = write_fixtures(str(tmp_path / "raw"))
+    args = ["--env", "prod", "--catalog-base", "cli", "--source-root", root,
+            "--warehouse-root", str(tmp_path / "wh")]
+    assert main(args) == 0
+    assert read_table(spark, "cli_prod_gold.season_champions").count() == 4
+    assert main(args + ["--reset"]) == 0
+    assert not spark.catalog.databaseExists("cli_prod_gold")
