@@ -46,7 +46,8 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
     is a third of the work in one task. Here:
 
     1. rows collapse to one per (group, value) with their count (partial
-       aggregation, so a hot value costs one row per task);
+       aggregation, so a hot value costs one row per task); this table is
+       checkpointed, being read by every later step;
     2. each group's value range [min, max] (exact, so every evaluation
        agrees) is cut into ``buckets`` equal-width slices; ties always share a
        slice, and slices are ordered like the values;
@@ -64,10 +65,12 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
     keys = list(partition_by)
     v, n, b = "__rank_value", "__rank_rows", "__rank_slice"
     values = df.groupBy(*keys, F.col(order_by).alias(v)).agg(F.count(F.lit(1)).alias(n))
+    # every step below reads `values` (differently pruned, so Spark cannot reuse
+    # one exchange): write it once to the checkpoint folder instead
+    values = values.checkpoint(eager=True)
     if keys:
-        # from the input, not from `values`: the two aggregates run side by side
-        stats = df.groupBy(*keys).agg(F.min(order_by).alias("__lo"),
-                                      F.max(order_by).alias("__hi"))
+        # from `values`, so every use of it shares one (reused) exchange
+        stats = values.groupBy(*keys).agg(F.min(v).alias("__lo"), F.max(v).alias("__hi"))
         x, lo, hi = (F.col(c).cast("double") for c in (v, "__lo", "__hi"))
         with_stats = _join_on_keys(values, stats, keys)
     else:

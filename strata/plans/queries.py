@@ -69,7 +69,7 @@ def csv_rejects(spark, sf_dir):
 
 
 def normalize_null_markers(spark, sf_dir):
-    results = _t(spark, sf_dir).results()
+    results = _t(spark, sf_dir).bronze("results")
     cleaned = clean_null_markers(results, {"position": "int", "milliseconds": "bigint"})
     return cleaned.select("result_id", "race_id", "position", "position_text", "milliseconds")
 
@@ -136,13 +136,13 @@ def project_rename(spark, sf_dir):
 
 
 def audit_column(spark, sf_dir):
-    bronze = with_audit_column(_t(spark, sf_dir).constructors())
+    bronze = with_audit_column(_t(spark, sf_dir).bronze("constructors"))
     return bronze.select("constructor_id", "name",
                          F.col("ingestion_date").isNotNull().alias("has_ingestion_date"))
 
 
 def cast_columns_query(spark, sf_dir):
-    standings = _t(spark, sf_dir).driver_standings()
+    standings = _t(spark, sf_dir).bronze("driver_standings")
     return cast_columns(standings, {"points": "double", "position": "int", "wins": "int",
                                     "positionText": "int"})
 
@@ -173,7 +173,7 @@ def distinct_keys_query(spark, sf_dir):
 
 
 def duplicate_result_keys(spark, sf_dir):
-    return duplicate_keys(_t(spark, sf_dir).results(), "result_id")
+    return duplicate_keys(_t(spark, sf_dir).bronze("results"), "result_id")
 
 
 def entity_row_number(spark, sf_dir):

@@ -74,6 +74,7 @@ class StandInTables:
         self._silver: dict[str, DataFrame] = {}
         self._gold: dict[tuple[str, bool], DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
+        self._bronze: dict[str, DataFrame] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, root: str) -> "StandInTables":
@@ -88,15 +89,26 @@ class StandInTables:
         self._gold.clear()
         self.__dict__.pop("silver", None)
 
+    def _store(self, df: DataFrame, label: str) -> DataFrame:
+        from strata.session import scratch_path
+        path = scratch_path(self.spark, label)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def bronze(self, name: str) -> DataFrame:
+        """A bronze stand-in as the silver layer sees it: derived once from the
+        test tables and written as Parquet below the shared checkpoint folder
+        (the modelled silver loads read bronze tables, not the raw files)."""
+        if name not in self._bronze:
+            self._bronze[name] = self._store(getattr(self, name)(), f"bronze-{name}")
+        return self._bronze[name]
+
     def stored(self, name: str) -> DataFrame:
         """A silver table as the gold layer sees it: written once as Parquet
         below the shared checkpoint folder, then read back (column pruning,
         pushed filters, and lineage cut at the layer boundary)."""
         if name not in self._stored:
-            from strata.session import scratch_path
-            path = scratch_path(self.spark, f"silver-{name}")
-            self.silver[name].write.mode("overwrite").parquet(path)
-            self._stored[name] = self.spark.read.parquet(path)
+            self._stored[name] = self._store(self.silver[name], f"silver-{name}")
         return self._stored[name]
 
     def table(self, name: str) -> DataFrame:
@@ -198,15 +210,16 @@ class StandInTables:
             s = self.silver
             if name == "fact_results":
                 return silver.fact_results(
-                    self.results(), s["dim_races"], s["dim_status"],
+                    self.bronze("results"), s["dim_races"], s["dim_status"],
                     finished_value=STANDIN_FINISHED_STATUS,
                     lapped_pattern=STANDIN_LAPPED_PATTERN)
             if name == "fact_driver_standings":
-                return silver.fact_driver_standings(self.driver_standings(), s["dim_races"])
-            source = {"dim_circuits": self.circuits, "dim_drivers": self.drivers,
-                      "dim_constructors": self.constructors, "dim_status": self.status,
-                      "dim_races": self.races}[name]
-            return getattr(silver, name)(source())
+                return silver.fact_driver_standings(self.bronze("driver_standings"),
+                                                    s["dim_races"])
+            source = {"dim_circuits": "circuits", "dim_drivers": "drivers",
+                      "dim_constructors": "constructors", "dim_status": "status",
+                      "dim_races": "races"}[name]
+            return getattr(silver, name)(self.bronze(source))
         return _Lazy(build)
 
     def gold(self, name: str, *, windowed: bool = False) -> DataFrame:

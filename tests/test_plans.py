@@ -1,6 +1,7 @@
 """Physical-plan properties: pushdown, pruning, no single-partition detail window."""
 
 import os
+import re
 
 import pytest
 
@@ -16,12 +17,21 @@ def plan_of(df) -> str:
 
 
 def test_scan_reads_only_needed_columns_and_pushes_filters(spark):
-    fact = StandInTables.of(spark, SF_DIR).silver["fact_results"].select("driver_id", "points")
-    plan = plan_of(fact)
+    tables = StandInTables.of(spark, SF_DIR)
+    plan = plan_of(tables.results().select("driver_id", "points"))
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
+    plan = plan_of(tables.races().select("race_id"))
     assert "PushedFilters: [IsNotNull(o_orderstatus), Not(EqualTo(o_orderstatus,P))" in plan
 
 
+def test_silver_fact_reads_only_needed_bronze_columns(spark):
+    fact = StandInTables.of(spark, SF_DIR).silver["fact_results"].select("driver_id", "points")
+    schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan_of(fact))
+    assert any("points:double" in s for s in schemas)
+    for unused in ("position_text", "milliseconds", "constructor_id", "number_results"):
+        assert not any(unused in s for s in schemas), schemas
+
+
 def test_season_filter_reaches_the_scan(spark):
     standings = StandInTables.of(spark, SF_DIR).stored("fact_driver_standings")
     plan = plan_of(standings.filter("race_year = 24000"))
