@@ -70,7 +70,8 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
     values = values.checkpoint(eager=True)
     if keys:
         # from `values`, so every use of it shares one (reused) exchange
-        stats = values.groupBy(*keys).agg(F.min(v).alias("__lo"), F.max(v).alias("__hi"))
+        stats = broadcast_if_small(            # one row per group
+            values.groupBy(*keys).agg(F.min(v).alias("__lo"), F.max(v).alias("__hi")))
         x, lo, hi = (F.col(c).cast("double") for c in (v, "__lo", "__hi"))
         with_stats = _join_on_keys(values, stats, keys)
     else:
@@ -90,8 +91,9 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
     per_slice = tagged.groupBy(*keys, b).agg(F.sum(weight).alias("__slice_weight"))
     before = (Window.partitionBy(*keys).orderBy(b)
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = per_slice.select(*keys, b, F.coalesce(F.sum("__slice_weight").over(before),
-                                                   F.lit(0)).alias("__offset"))
+    offsets = broadcast_if_small(              # at most buckets + 1 rows per group
+        per_slice.select(*keys, b, F.coalesce(F.sum("__slice_weight").over(before),
+                                              F.lit(0)).alias("__offset")))
     inside = (Window.partitionBy(*keys, b).orderBy(_order(v, descending))
               .rowsBetween(Window.unboundedPreceding, -1))
     ranked = (_join_on_keys(tagged, offsets, [*keys, b])
@@ -131,6 +133,7 @@ def global_rank(df: DataFrame, order_by: str, output: str, method: str = "rank",
         raise ValueError("global_rank supports 'rank' and 'dense_rank'")
     value = "__rank_value"
     counts = df.groupBy(F.col(order_by).alias(value)).agg(F.count(F.lit(1)).alias("__rows"))
+    counts = counts.checkpoint(eager=True)   # small; read by the size check and the join
     w_values = Window.orderBy(_order(value, descending))
     if method == "rank":
         before = w_values.rowsBetween(Window.unboundedPreceding, -1)
