@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.enrich import broadcast_if_small
+from strata.operators.enrich import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 _RANKERS = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}
 
@@ -38,7 +38,8 @@ def global_rank_window(df: DataFrame, order_by: str, output: str, method: str =
 
 
 def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, output: str,
-                method: str = "rank", descending: bool = True, buckets: int = 64) -> DataFrame:
+                method: str = "rank", descending: bool = True, buckets: int = 64,
+                window_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Exact ``rank`` / ``dense_rank`` per group, with no task holding a whole group.
 
     A window partitioned by season runs one task per season: parallelism is
@@ -56,6 +57,10 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
     4. values are ranked inside their (group, slice) and the offset is added;
     5. the rank is joined back on (group, value), null-safely.
 
+    When the collapsed table has at most ``window_rows`` rows (counted on the
+    checkpoint), no group can be large: the values are ranked with a plain
+    window per group and the result is broadcast back (steps 2-4 skipped).
+
     Results equal ``rank()`` / ``dense_rank()`` over
     ``Window.partitionBy(*partition_by).orderBy(order_by)``, with nulls last
     when descending and first when ascending.
@@ -68,6 +73,13 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
     # every step below reads `values` (differently pruned, so Spark cannot reuse
     # one exchange): write it once to the checkpoint folder instead
     values = values.checkpoint(eager=True)
+    weight = F.col(n) if method == "rank" else F.lit(1)
+    if values.limit(window_rows + 1).count() <= window_rows:
+        before_value = (Window.partitionBy(*keys).orderBy(_order(v, descending))
+                        .rowsBetween(Window.unboundedPreceding, -1))
+        ranked = values.select(*keys, v, (F.coalesce(F.sum(weight).over(before_value),
+                                                     F.lit(0)) + 1).cast("int").alias(output))
+        return _join_on_keys(df, F.broadcast(ranked), keys, value=(order_by, v)).drop(v)
     if keys:
         # from `values`, so every use of it shares one (reused) exchange
         stats = broadcast_if_small(            # one row per group
@@ -87,7 +99,6 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
                                      F.lit(buckets - 1)))
               .otherwise(F.lit(0)).cast("int"))
     tagged = with_stats.withColumn(b, slice_).drop("__lo", "__hi")
-    weight = F.col(n) if method == "rank" else F.lit(1)
     per_slice = tagged.groupBy(*keys, b).agg(F.sum(weight).alias("__slice_weight"))
     before = (Window.partitionBy(*keys).orderBy(b)
               .rowsBetween(Window.unboundedPreceding, -1))

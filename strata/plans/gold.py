@@ -50,6 +50,9 @@ def constructor_standings(fact: DataFrame, constructors: DataFrame, *,
     totals = season_totals_by_constructor(fact, constructors)
     if windowed:
         return rank_within(totals, ["race_year"], "total_points", "season_rank", "dense_rank")
+    # the ranking reads its input twice (collapse, join back): write the
+    # season totals once rather than joining and aggregating the facts twice
+    totals = totals.checkpoint(eager=True)
     ranked = rank_values(totals, ["race_year"], "total_points", "season_rank", "dense_rank")
     return ranked.select("race_year", "constructor_id", "constructor_name", "total_points",
                          "wins", "podiums", "season_rank")

@@ -75,6 +75,7 @@ class StandInTables:
         self._gold: dict[tuple[str, bool], DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
         self._bronze: dict[str, DataFrame] = {}
+        self._stored_gold: dict[str, DataFrame] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, root: str) -> "StandInTables":
@@ -222,6 +223,12 @@ class StandInTables:
             return getattr(silver, name)(self.bronze(source))
         return _Lazy(build)
 
+    def stored_gold(self, name: str) -> DataFrame:
+        """A gold table that other gold loads read, written once (default form)."""
+        if name not in self._stored_gold:
+            self._stored_gold[name] = self._store(self.gold(name), f"gold-{name}")
+        return self._stored_gold[name]
+
     def gold(self, name: str, *, windowed: bool = False) -> DataFrame:
         key = (name, windowed)
         if key not in self._gold:
@@ -239,15 +246,14 @@ class StandInTables:
             return gold.constructor_standings(s["fact_results"], s["dim_constructors"],
                                               windowed=windowed)
         if name == "constructor_dominance":
-            return gold.constructor_dominance(
-                self.gold("constructor_standings", windowed=windowed))
+            return gold.constructor_dominance(self.stored_gold("constructor_standings"))
         if name == "season_champions":
             return gold.season_champions(s["fact_driver_standings"], s["dim_drivers"],
                                          windowed=windowed)
         if name == "drivers_without_title":
             return gold.drivers_without_title(
-                self.gold("driver_career"),
-                self.gold("season_champions", windowed=windowed), windowed=windowed)
+                self.stored_gold("driver_career"), self.stored_gold("season_champions"),
+                windowed=windowed)
         raise KeyError(name)
 
 

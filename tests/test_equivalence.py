@@ -53,7 +53,9 @@ def test_global_rank_has_no_single_partition_exchange_on_rows(spark):
 @pytest.mark.parametrize("method", ["rank", "dense_rank"])
 @pytest.mark.parametrize("descending", [True, False])
 @pytest.mark.parametrize("buckets", [1, 3, 64])
-def test_rank_values_matches_partitioned_window(spark, seed, method, descending, buckets):
+@pytest.mark.parametrize("window_rows", [0, 1_000_000])
+def test_rank_values_matches_partitioned_window(spark, seed, method, descending, buckets,
+                                               window_rows):
     from strata.operators.ranking import rank_values, rank_within
     rng = random.Random(seed)
     # one hot group, a null group, ties, nulls, and continuous values
@@ -61,7 +63,8 @@ def test_rank_values_matches_partitioned_window(spark, seed, method, descending,
              rng.choice([None, 0.5, 1.0, 1.0, rng.uniform(-50, 50), float(rng.randint(0, 9))]))
             for i in range(2500)]
     df = spark.createDataFrame(rows, "id long, season int, points double")
-    fast = rank_values(df, ["season"], "points", "r", method, descending, buckets)
+    fast = rank_values(df, ["season"], "points", "r", method, descending, buckets,
+                       window_rows=window_rows)
     plain = rank_within(df, ["season"], "points", "r", method, descending)
     cols = ["id", "season", "points", "r"]
     assert _sorted(fast.select(*cols)) == _sorted(plain.select(*cols))
@@ -71,6 +74,7 @@ def test_rank_values_two_keys_and_constant_group(spark):
     from strata.operators.ranking import rank_values, rank_within
     rows = [(i % 3, i % 2, 7.0 if i % 3 == 0 else float(i % 11)) for i in range(600)]
     df = spark.createDataFrame(rows, "a int, b int, v double")
-    fast = rank_values(df, ["a", "b"], "v", "r", "dense_rank")
     plain = rank_within(df, ["a", "b"], "v", "r", "dense_rank")
-    assert _sorted(fast) == _sorted(plain)
+    for window_rows in (0, 1_000_000):
+        fast = rank_values(df, ["a", "b"], "v", "r", "dense_rank", window_rows=window_rows)
+        assert _sorted(fast) == _sorted(plain)
