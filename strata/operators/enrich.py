@@ -22,13 +22,16 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, *,
+                       checkpoint: bool = False) -> DataFrame:
     """Broadcast ``df`` only after checking that it has at most ``max_rows`` rows.
 
     If Catalyst's own estimate is already under the broadcast threshold, Spark
     broadcasts it anyway and no job runs. Otherwise one job counts at most
     ``max_rows + 1`` rows; above the bound the frame is returned unchanged and
-    the join stays a shuffle join.
+    the join stays a shuffle join. With ``checkpoint=True`` the frame is first
+    written to the checkpoint folder, so that the count and the join read it
+    instead of computing it twice.
     """
     spark = df.sparkSession
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
@@ -36,6 +39,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     if 0 <= limit and int(str(estimate)) <= limit:
         return df
+    if checkpoint:
+        df = df.checkpoint(eager=True)
     rows = df.limit(max_rows + 1).count()
     return F.broadcast(df) if rows <= max_rows else df
 

@@ -144,14 +144,13 @@ def global_rank(df: DataFrame, order_by: str, output: str, method: str = "rank",
         raise ValueError("global_rank supports 'rank' and 'dense_rank'")
     value = "__rank_value"
     counts = df.groupBy(F.col(order_by).alias(value)).agg(F.count(F.lit(1)).alias("__rows"))
-    counts = counts.checkpoint(eager=True)   # small; read by the size check and the join
     w_values = Window.orderBy(_order(value, descending))
     if method == "rank":
         before = w_values.rowsBetween(Window.unboundedPreceding, -1)
         rank_col = (F.coalesce(F.sum("__rows").over(before), F.lit(0)) + 1).cast("int")
     else:
         rank_col = F.dense_rank().over(w_values)
-    ranks = broadcast_if_small(counts.select(value, rank_col.alias(output)))
+    ranks = broadcast_if_small(counts.select(value, rank_col.alias(output)), checkpoint=True)
     return df.join(ranks, df[order_by].eqNullSafe(ranks[value]), "inner").drop(value)
 
 

@@ -18,8 +18,7 @@ from strata.operators.enrich import broadcast_if_small
 def last_round_rows(df: DataFrame, season: str, round_col: str) -> DataFrame:
     last = df.groupBy(F.col(season).alias("__season")).agg(
         F.max(round_col).alias("__last_round"))
-    # one row per season: computed once, then size-checked and broadcast
-    last = broadcast_if_small(last.checkpoint(eager=True))
+    last = broadcast_if_small(last, checkpoint=True)      # one row per season
     cond = df[season].eqNullSafe(last["__season"]) & (df[round_col] == last["__last_round"])
     return df.join(last, cond, "inner").drop("__season", "__last_round")
 

@@ -45,6 +45,11 @@ def _gold(name: str) -> Query:
     return lambda spark, sf_dir: _t(spark, sf_dir).gold(name)
 
 
+def _gold_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A gold table as read-backs and dashboard views see it: the stored table."""
+    return _t(spark, sf_dir).stored_gold(name)
+
+
 # ---- sources -----------------------------------------------------------------------
 def _races_raw_schema() -> T.StructType:
     # the raw races schema with a 64-bit key: order keys outgrow int at scale
@@ -169,7 +174,7 @@ def conditional_counts(spark, sf_dir):
 
 
 def distinct_keys_query(spark, sf_dir):
-    return distinct_keys(_t(spark, sf_dir).gold("season_champions"), "driver_id")
+    return distinct_keys(_gold_table(spark, sf_dir, "season_champions"), "driver_id")
 
 
 def duplicate_result_keys(spark, sf_dir):
@@ -177,7 +182,7 @@ def duplicate_result_keys(spark, sf_dir):
 
 
 def entity_row_number(spark, sf_dir):
-    standings = _t(spark, sf_dir).gold("constructor_standings")
+    standings = _gold_table(spark, sf_dir, "constructor_standings")
     leaders = (standings.filter(F.col("season_rank") == 1)
                .select("constructor_id", "constructor_name", "race_year"))
     return with_row_number(leaders, ["constructor_id"], "race_year")
@@ -192,23 +197,23 @@ def driver_season_streaks(spark, sf_dir):
 
 
 def season_range_filter(spark, sf_dir):
-    standings = _t(spark, sf_dir).gold("constructor_standings")
+    standings = _gold_table(spark, sf_dir, "constructor_standings")
     return dashboard.season_range(standings, RANGE_FROM, RANGE_TO)
 
 
 # ---- sorts, top-k ------------------------------------------------------------------
 def topk_career(spark, sf_dir):
-    career = _t(spark, sf_dir).gold("driver_career")
+    career = _gold_table(spark, sf_dir, "driver_career")
     return top_k(career, [F.col("total_points").desc(), F.col("driver_id")], 20)
 
 
 def sorted_career(spark, sf_dir):
-    return sorted_for_read(_t(spark, sf_dir).gold("constructor_career"),
+    return sorted_for_read(_gold_table(spark, sf_dir, "constructor_career"),
                            F.col("total_points").desc())
 
 
 def sorted_standings(spark, sf_dir):
-    return sorted_for_read(_t(spark, sf_dir).gold("constructor_standings"),
+    return sorted_for_read(_gold_table(spark, sf_dir, "constructor_standings"),
                            "race_year", "season_rank")
 
 
@@ -218,11 +223,11 @@ def limit_preview(spark, sf_dir):
 
 
 def dash(view: str, source: str) -> Query:
-    return lambda spark, sf_dir: getattr(dashboard, view)(_t(spark, sf_dir).gold(source))
+    return lambda spark, sf_dir: getattr(dashboard, view)(_gold_table(spark, sf_dir, source))
 
 
 def dash_top5_of_season(spark, sf_dir):
-    standings = _t(spark, sf_dir).gold("constructor_standings")
+    standings = _gold_table(spark, sf_dir, "constructor_standings")
     return top_k_per_group(standings, "season_rank", 5)
 
 
