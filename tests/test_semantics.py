@@ -190,3 +190,41 @@ def test_layer_lifecycle(spark, tmp_path):
     names = {d.name for d in spark.catalog.listDatabases()}
     assert not {"life_prod_bronze", "life_prod_silver", "life_prod_gold"} & names
     assert not (tmp_path / "life_prod_gold" / "driver_career").exists()
+
+
+# A6: the approximate distinct count is an opt-in scale option
+def test_approximate_distinct_option(spark):
+    from strata.plans import gold
+    fact = spark.createDataFrame(
+        [(1, r, 1.0, True, True, 2001) for r in range(50)] + [(2, 7, 2.0, False, True, 2002)],
+        "driver_id int, race_id int, points double, is_win boolean, is_podium boolean, "
+        "race_year int")
+    drivers = spark.createDataFrame([(1, "A", "x"), (2, "B", "y")],
+                                    "driver_id int, full_name string, nationality string")
+    exact = {r.driver_id: r.races_disputed for r in gold.driver_career(fact, drivers).collect()}
+    approx = {r.driver_id: r.races_disputed
+              for r in gold.driver_career(fact, drivers, approximate_distinct=True).collect()}
+    assert exact == {1: 50, 2: 1}
+    assert approx[2] == 1 and abs(approx[1] - 50) <= 2
+
+
+# S2: profiling infers types on a sample and never loads data with them
+def test_profile_csv(spark, tmp_path):
+    from strata.sources.csv import profile_csv
+    path = tmp_path / "races.csv"
+    path.write_text("raceId,year,name\n1,2001,A\n2,2002,B\n")
+    schema = profile_csv(spark, str(path), sampling_ratio=1.0)
+    assert [(f.name, f.dataType.simpleString()) for f in schema.fields] == [
+        ("raceId", "int"), ("year", "int"), ("name", "string")]
+
+
+# K2 / K3: a static overwrite of a partitioned table replaces every partition
+def test_partitioned_overwrite_replaces_all_partitions(spark, tmp_path):
+    from strata.sinks.tables import create_layer, drop_layer, overwrite_table
+    create_layer(spark, "kparts", str(tmp_path / "kparts"))
+    first = spark.createDataFrame([(1, 2001), (2, 2002)], "id int, race_year int")
+    overwrite_table(first, "kparts.t", partition_by=["race_year"])
+    second = spark.createDataFrame([(3, 2003)], "id int, race_year int")
+    overwrite_table(second, "kparts.t", partition_by=["race_year"])
+    assert rows(spark.table("kparts.t"), "id", "race_year") == [(3, 2003)]
+    drop_layer(spark, "kparts")
