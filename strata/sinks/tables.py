@@ -51,8 +51,13 @@ def use_layer(spark: SparkSession, database: str) -> None:
 
 
 def current_namespace(spark: SparkSession) -> tuple[str, str]:
-    row = spark.sql("SELECT current_catalog() AS c, current_database() AS d").first()
-    return row.c, row.d
+    row = spark.sql("SELECT current_catalog() AS c, current_schema() AS s").first()
+    return row.c, row.s
+
+
+def list_layers(spark: SparkSession, pattern: str = "*") -> list[str]:
+    """``SHOW SCHEMAS LIKE pattern``."""
+    return [r[0] for r in spark.sql(f"SHOW SCHEMAS LIKE '{pattern}'").collect()]
 
 
 def overwrite_table(df: DataFrame, table: str, *, partition_by: Sequence[str] = (),

@@ -184,6 +184,9 @@ def test_layer_lifecycle(spark, tmp_path):
     create_layers(spark, config)
     use_layer(spark, config.database("gold"))
     assert current_namespace(spark) == ("spark_catalog", "life_prod_gold")
+    from strata.sinks.tables import list_layers
+    assert sorted(list_layers(spark, "life_prod_*")) == [
+        "life_prod_bronze", "life_prod_gold", "life_prod_silver"]
     overwrite_table(spark.range(2).toDF("id"), config.table("gold", "driver_career"))
     use_layer(spark, "default")
     reset_layers(spark, config)
