@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoints of intermediate tables are removed once no plan refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
