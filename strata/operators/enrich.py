@@ -33,11 +33,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, *,
     written to the checkpoint folder, so that the count and the join read it
     instead of computing it twice.
     """
-    spark = df.sparkSession
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    limit = _bytes(threshold)
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if 0 <= limit and int(str(estimate)) <= limit:
+    if planner_sees_small(df):
         return df
     if checkpoint:
         df = df.checkpoint(eager=True)
@@ -45,6 +41,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, *,
     return F.broadcast(df) if rows <= max_rows else df
 
 
+def planner_sees_small(df: DataFrame) -> bool:
+    """True when Catalyst's size estimate is under the broadcast threshold
+    (estimates only grow through joins, so this never under-reports a join)."""
+    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    limit = _bytes(threshold)
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return 0 <= limit and int(str(estimate)) <= limit
+
+
 def _bytes(text: str) -> int:
     text = str(text).strip().lower()
     units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,

@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.enrich import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from strata.operators.enrich import (DEFAULT_BROADCAST_ROWS, broadcast_if_small,
+                                     planner_sees_small)
 
 _RANKERS = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}
 
@@ -57,7 +58,8 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
     4. values are ranked inside their (group, slice) and the offset is added;
     5. the rank is joined back on (group, value), null-safely.
 
-    When the collapsed table has at most ``window_rows`` rows (counted on the
+    When the collapsed table is small (Catalyst's estimate is under the
+    broadcast threshold, or at most ``window_rows`` rows counted on the
     checkpoint), no group can be large: the values are ranked with a plain
     window per group and the result is broadcast back (steps 2-4 skipped).
 
@@ -72,9 +74,12 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
     values = df.groupBy(*keys, F.col(order_by).alias(v)).agg(F.count(F.lit(1)).alias(n))
     # every step below reads `values` (differently pruned, so Spark cannot reuse
     # one exchange): write it once to the checkpoint folder instead
-    values = values.checkpoint(eager=True)
     weight = F.col(n) if method == "rank" else F.lit(1)
-    if values.limit(window_rows + 1).count() <= window_rows:
+    small = window_rows > 0 and planner_sees_small(values)
+    if not small:
+        values = values.checkpoint(eager=True)
+        small = values.limit(window_rows + 1).count() <= window_rows
+    if small:
         before_value = (Window.partitionBy(*keys).orderBy(_order(v, descending))
                         .rowsBetween(Window.unboundedPreceding, -1))
         ranked = values.select(*keys, v, (F.coalesce(F.sum(weight).over(before_value),
@@ -127,18 +132,16 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def global_rank(df: DataFrame, order_by: str, output: str, method: str = "rank",
-                descending: bool = True, strategy: str = "distinct",
+                descending: bool = True, strategy: str = "auto",
                 buckets: int = 64) -> DataFrame:
     """Table-wide ``rank`` / ``dense_rank`` without moving the rows into one task.
 
-    ``strategy="distinct"`` (default, for counts such as wins): only the
-    distinct values are ranked in one window (their number is bounded by the
-    largest count, not by the rows), then the rank is joined back null-safely.
-    ``strategy="split"``: ``rank_values`` with one group, for continuous
-    columns whose distinct values grow with the data (one small job computes
-    the value range first).
+    ``strategy="auto"`` (default): ``rank_values`` with one group. The distinct
+    values are ranked in one window when they are provably few (counts such as
+    wins: bounded by the largest count, not by the rows), and sliced otherwise.
+    ``strategy="distinct"``: always the one-window form over distinct values.
     """
-    if strategy == "split":
+    if strategy in ("auto", "split"):
         return rank_values(df, [], order_by, output, method, descending, buckets)
     if method not in ("rank", "dense_rank"):
         raise ValueError("global_rank supports 'rank' and 'dense_rank'")

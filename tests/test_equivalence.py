@@ -16,7 +16,7 @@ def _sorted(df):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 @pytest.mark.parametrize("method", ["rank", "dense_rank"])
 @pytest.mark.parametrize("descending", [True, False])
-@pytest.mark.parametrize("strategy", ["distinct", "split"])
+@pytest.mark.parametrize("strategy", ["distinct", "auto"])
 def test_global_rank_matches_window(spark, seed, method, descending, strategy):
     rng = random.Random(seed)
     rows = [(i, rng.choice([None, *range(12)])) for i in range(3000)]
@@ -78,3 +78,15 @@ def test_rank_values_two_keys_and_constant_group(spark):
     for window_rows in (0, 1_000_000):
         fast = rank_values(df, ["a", "b"], "v", "r", "dense_rank", window_rows=window_rows)
         assert _sorted(fast) == _sorted(plain)
+
+
+@pytest.mark.parametrize("method", ["rank", "dense_rank"])
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_values_without_keys_sliced(spark, method, descending):
+    from strata.operators.ranking import rank_values
+    rng = random.Random(9)
+    rows = [(i, rng.choice([None, 1.0, 1.0, rng.uniform(0, 100)])) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id long, v double")
+    fast = rank_values(df, [], "v", "r", method, descending, buckets=7, window_rows=0)
+    plain = global_rank_window(df, "v", "r", method, descending)
+    assert _sorted(fast.select("id", "v", "r")) == _sorted(plain.select("id", "v", "r"))
