@@ -40,7 +40,8 @@ def global_rank_window(df: DataFrame, order_by: str, output: str, method: str =
 
 def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, output: str,
                 method: str = "rank", descending: bool = True, buckets: int = 64,
-                window_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                window_rows: int = DEFAULT_BROADCAST_ROWS,
+                small_input: bool = False) -> DataFrame:
     """Exact ``rank`` / ``dense_rank`` per group, with no task holding a whole group.
 
     A window partitioned by season runs one task per season: parallelism is
@@ -58,10 +59,11 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
     4. values are ranked inside their (group, slice) and the offset is added;
     5. the rank is joined back on (group, value), null-safely.
 
-    When the collapsed table is small (Catalyst's estimate is under the
-    broadcast threshold, or at most ``window_rows`` rows counted on the
-    checkpoint), no group can be large: the values are ranked with a plain
-    window per group and the result is broadcast back (steps 2-4 skipped).
+    When the collapsed table is small (the caller knows its input is bounded,
+    ``small_input``; Catalyst's estimate is under the broadcast threshold; or
+    at most ``window_rows`` rows counted on the checkpoint), no group can be
+    large: the values are ranked with a plain window per group and the result
+    is broadcast back (steps 2-4 skipped).
 
     Results equal ``rank()`` / ``dense_rank()`` over
     ``Window.partitionBy(*partition_by).orderBy(order_by)``, with nulls last
@@ -75,7 +77,7 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
     # every step below reads `values` (differently pruned, so Spark cannot reuse
     # one exchange): write it once to the checkpoint folder instead
     weight = F.col(n) if method == "rank" else F.lit(1)
-    small = window_rows > 0 and planner_sees_small(values)
+    small = window_rows > 0 and (small_input or planner_sees_small(values))
     if not small:
         values = values.checkpoint(eager=True)
         small = values.limit(window_rows + 1).count() <= window_rows

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.enrich import exclude_keys, inner_enrich
+from strata.operators.enrich import exclude_keys, inner_enrich, planner_sees_small
 from strata.operators.ranking import (global_rank, global_rank_window, rank_values,
                                       rank_within)
 from strata.operators.rollups import career_aggregates, season_totals
@@ -50,10 +50,15 @@ def constructor_standings(fact: DataFrame, constructors: DataFrame, *,
     totals = season_totals_by_constructor(fact, constructors)
     if windowed:
         return rank_within(totals, ["race_year"], "total_points", "season_rank", "dense_rank")
-    # the ranking reads its input twice (collapse, join back): write the
-    # season totals once rather than joining and aggregating the facts twice
-    totals = totals.checkpoint(eager=True)
-    ranked = rank_values(totals, ["race_year"], "total_points", "season_rank", "dense_rank")
+    # Season totals never outnumber the facts (dimensions are keyed). If the
+    # planner sees the facts as small, so are the totals: rank them directly.
+    # Otherwise the ranking reads them twice (collapse, join back), so write
+    # them once rather than joining and aggregating the facts twice.
+    small = planner_sees_small(fact)
+    if not small:
+        totals = totals.checkpoint(eager=True)
+    ranked = rank_values(totals, ["race_year"], "total_points", "season_rank", "dense_rank",
+                         small_input=small)
     return ranked.select("race_year", "constructor_id", "constructor_name", "total_points",
                          "wins", "podiums", "season_rank")
 
