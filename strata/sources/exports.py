@@ -14,11 +14,6 @@ from pyspark.sql import functions as F
 from strata.session import scratch_path
 from strata.sources.standins import StandInTables
 
-# Raw races header plus the trailing column every source file carries.
-RACES_EXPORT_HEADER = ["raceId", "year", "round", "circuitId", "name", "date", "time", "url",
-                       "source"]
-
-
 def races_export_frame(tables: StandInTables) -> DataFrame:
     """All orders (pending ones included) as raw race rows, every value text.
 
