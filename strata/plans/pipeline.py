@@ -223,10 +223,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
     config = PipelineConfig(env=args.env, catalog_base=args.catalog_base,
                             source_root=args.source_root, warehouse_root=args.warehouse_root)
-    if args.master:
-        spark = build_session(args.master)
-    else:
-        spark = SparkSession.builder.getOrCreate()
+    spark = build_session(args.master) if args.master else SparkSession.builder.getOrCreate()
     if args.reset:
         reset_layers(spark, config)
         return 0
