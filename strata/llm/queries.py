@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination
-from strata.llm.common import read_tables
+from strata.llm import bpe, decontamination
+from strata.llm.common import arrow_column, read_tables
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,24 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col(f"{r}.contaminated"))
 
 
+def word_bpe_path() -> str:
+    """The public word-level vocabulary file that the contract names."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, = read_tables(spark, sf_dir, "documents")
+    path = word_bpe_path()
+    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path), path)
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(arrow_column(bpe.packed, "binary")("ids"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1,
+    "op2_bpe_encoding_and_decoding": op2,
 }
