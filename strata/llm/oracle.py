@@ -42,4 +42,27 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op1_benchmark_decontamination": OP1}
+OP4 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORDS_4}) AS w FROM documents),
+starts AS (
+  SELECT doc_id, j, array_to_string(w[j:j + 12], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS j FROM d WHERE len(w) >= 13)),
+first AS (SELECT win, min(doc_id) AS least FROM starts GROUP BY win),
+gone AS (
+  SELECT DISTINCT doc_id, p
+  FROM (SELECT doc_id, unnest(range(j, j + 13)) AS p
+        FROM starts JOIN first USING (win) WHERE least < doc_id)),
+removed AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.p) AS kept
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) x
+  ANTI JOIN gone g ON x.doc_id = g.doc_id AND x.p = g.p GROUP BY x.doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_benchmark_decontamination": OP1,
+    "op4_substring_dedup": OP4,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontamination
+from strata.llm import bpe, decontamination, substrings
 from strata.llm.common import arrow_column, read_tables
 
 
@@ -38,7 +38,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, = read_tables(spark, sf_dir, "documents")
+    found, name = substrings.remove_repeats(docs.select("doc_id", "text"))
+    f = f"`{name}`"
+    return found.select("doc_id", F.col(f"{f}.n_words"), F.col(f"{f}.n_removed"),
+                        F.sha2(f"{f}.kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1,
     "op2_bpe_encoding_and_decoding": op2,
+    "op4_substring_dedup": op4,
 }
