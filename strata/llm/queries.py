@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontamination, substrings
+from strata.llm import bpe, decontamination, secrets, substrings
 from strata.llm.common import arrow_column, read_tables
 
 
@@ -46,8 +46,23 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(f"{f}.kept", 256).alias("kept_sha256"))
 
 
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, = read_tables(spark, sf_dir, "documents")
+    found, name = secrets.find_secrets(docs.select("doc_id", "text"))
+    spans = F.col(f"`{name}`")
+    base = F.filter(spans, lambda s: s["kind"].isin("assign", "access", "hex"))
+    count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+    listed = lambda items: F.array_join(F.transform(
+        items, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+        count("hex").alias("n_hex"), F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(spans).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1,
     "op2_bpe_encoding_and_decoding": op2,
     "op4_substring_dedup": op4,
+    "op5_secret_scans": op5,
 }
