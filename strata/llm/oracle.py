@@ -62,7 +62,22 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
 FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+OP6 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, p.vec_id, CAST(list_inner_product(q.e, p.e) AS BIGINT) AS score
+  FROM v q JOIN v p ON q.vec_id <> p.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20
+"""
+
 ORACLE: dict[str, str] = {
     "op1_benchmark_decontamination": OP1,
     "op4_substring_dedup": OP4,
+    "op6_exact_top_k_search": OP6,
 }

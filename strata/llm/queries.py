@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontamination, secrets, substrings
+from strata.llm import bpe, decontamination, secrets, substrings, topk
 from strata.llm.common import arrow_column, read_tables
 
 
@@ -60,9 +60,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         listed(spans).alias("spans"))
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, = read_tables(spark, sf_dir, "embeddings")
+    scaled = vectors.select("vec_id", F.transform(
+        topk.usable(F.col("embedding")), lambda x: F.floor(x * 64).cast("double")).alias("embedding"))
+    return topk.top_k(scaled, scaled.where(F.col("vec_id") % 20 == 0)).select(
+        "query_id", "rank", "vec_id", F.col("score").cast("bigint").alias("score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1,
     "op2_bpe_encoding_and_decoding": op2,
     "op4_substring_dedup": op4,
     "op5_secret_scans": op5,
+    "op6_exact_top_k_search": op6,
 }
