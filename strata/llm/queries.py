@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontamination, secrets, substrings, topk
+from strata.llm import bpe, decontamination, secrets, simhash, substrings, topk
 from strata.llm.common import arrow_column, read_tables
 
 
@@ -68,10 +68,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "query_id", "rank", "vec_id", F.col("score").cast("bigint").alias("score"))
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, = read_tables(spark, sf_dir, "documents")
+    return simhash.near_duplicates(docs).select(
+        F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("f")), 16, "0").alias("fingerprint"),
+        F.col("component").alias("component_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1,
     "op2_bpe_encoding_and_decoding": op2,
     "op4_substring_dedup": op4,
     "op5_secret_scans": op5,
     "op6_exact_top_k_search": op6,
+    "op8_simhash_near_dedup": op8,
 }
