@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontamination, secrets, simhash, substrings, topk
+from strata.llm import bpe, decontamination, langid, quality, secrets, simhash, substrings, topk
 from strata.llm.common import arrow_column, read_tables
 
+QUALITY_FROM = 0.3
+
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = read_tables(spark, sf_dir, "documents", "benchmark")
@@ -68,6 +70,31 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "query_id", "rank", "vec_id", F.col("score").cast("bigint").alias("score"))
 
 
+def _turn(of: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % of
+
+
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, = read_tables(spark, sf_dir, "documents")
+    held_out = F.coalesce(_turn(3) == 1, F.lit(False))
+    model = langid.train(docs, ~held_out)
+    said = docs.select("doc_id", held_out.alias("held_out"), langid.identify(docs, model).alias("said"))
+    return said.select("doc_id", "held_out", F.col("said.lang").alias("lang_pred"),
+                       F.col("said.score").alias("score"))
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Trees:
+    """The classifier of the contract: rows of a fifth of the ids are held out."""
+    return quality.train(docs, labels, F.coalesce(_turn(5) != 0, F.lit(False)))
+
+
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_tables(spark, sf_dir, "documents", "labels")
+    scored = docs.select("doc_id", F.coalesce(_turn(5) == 0, F.lit(False)).alias("held_out"),
+                         quality.score(docs, quality_model(docs, labels)).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_FROM).cast("int"))
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, = read_tables(spark, sf_dir, "documents")
     return simhash.near_duplicates(docs).select(
@@ -81,5 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4,
     "op5_secret_scans": op5,
     "op6_exact_top_k_search": op6,
+    "op7_language_id": op7,
     "op8_simhash_near_dedup": op8,
+    "op9_quality_classifier": op9,
 }
