@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontamination, langid, quality, secrets, simhash, substrings, topk
+from strata.llm import bpe, decontamination, langid, pagetext, quality, secrets, simhash, substrings, topk
 from strata.llm.common import arrow_column, read_tables
 
 QUALITY_FROM = 0.3
@@ -102,6 +102,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"))
 
 
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, = read_tables(spark, sf_dir, "pages")
+    text = pagetext.extract(pages, pagetext.train(pages))
+    return pages.select("page_id", "url", text.alias("text")).withColumn(
+        "n_chars", F.length("text").cast("bigint"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1,
     "op2_bpe_encoding_and_decoding": op2,
@@ -111,4 +118,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7,
     "op8_simhash_near_dedup": op8,
     "op9_quality_classifier": op9,
+    "op10_html_extraction": op10,
 }
