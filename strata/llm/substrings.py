@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from strata.llm.common import free_name, prepare
 
 WINDOW = 13
-UNIT_WORDS = 3_000_000
+UNIT_WORDS = 1_000_000
 _BYTES_PER_WORD = 6
 _BASE = np.uint64(0x9E3779B97F4A7C15)   # odd multiplier of the rolling hash
 _NO_ID = np.iinfo(np.int64).max
