@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from strata.session import ensure_checkpoint_dir
+from strata.session import ensure_checkpoint_dir, scratch_path
 
 # Texts travel to Python in batches bounded by bytes as well as by rows, so a
 # run of very long texts does not make a batch larger.
-BATCH_ROWS = 4096
-BATCH_BYTES = 24 << 20
+BATCH_ROWS = 1024
+BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -54,5 +54,24 @@ def arrow_column(fn: Callable[..., pa.Array], result: DataType | str) -> Callabl
     return F.arrow_udf(run, returnType=result)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+# Values (of up to 8 bytes) up to which a stored table may be broadcast.
+BROADCAST_VALUES = 2_000_000
+
+
+def small(table: DataFrame, values: Column | None = None) -> DataFrame:
+    """A stored table, marked for broadcast if it is counted to hold few values
+    (``values`` per row; by default one a column, for fixed-width columns)."""
+    values = F.lit(len(table.columns)) if values is None else values
+    held = table.agg(F.sum(values)).first()[0] or 0
+    return F.broadcast(table) if held <= BROADCAST_VALUES else table
+
+
 def read_tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names]

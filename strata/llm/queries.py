@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontamination, langid, pagetext, quality, secrets, simhash, substrings, topk
+from strata.llm import bpe, decontamination, langid, lines, pagetext, quality, secrets, simhash, substrings, topk
 from strata.llm.common import arrow_column, read_tables
 
 QUALITY_FROM = 0.3
@@ -40,6 +40,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, = read_tables(spark, sf_dir, "documents")
+    found, name = lines.dedup_lines(docs.select("doc_id", "text"))
+    n = f"`{name}`"
+    return found.select("doc_id", F.col(f"{n}.n_removed"), F.array_join(f"{n}.removed", ",").alias("removed"),
+                        F.sha2(F.coalesce(f"{n}.kept", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, = read_tables(spark, sf_dir, "documents")
     found, name = substrings.remove_repeats(docs.select("doc_id", "text"))
@@ -112,6 +120,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1,
     "op2_bpe_encoding_and_decoding": op2,
+    "op3_line_dedup": op3,
     "op4_substring_dedup": op4,
     "op5_secret_scans": op5,
     "op6_exact_top_k_search": op6,
