@@ -59,6 +59,12 @@ def clean_null_markers(df: DataFrame, columns: Mapping[str, str | None],
     return df.withColumns(out)
 
 
+def clean_text(df: DataFrame, markers: Iterable[str] = NULL_MARKERS) -> DataFrame:
+    """Marker text -> null in every string column."""
+    text = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    return clean_null_markers(df, {name: None for name in text}, markers)
+
+
 def cast_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Strict casts that keep the column name (errors raise under ANSI)."""
     return df.withColumns({c: F.col(c).cast(t) for c, t in mapping.items()})

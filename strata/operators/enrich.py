@@ -7,7 +7,7 @@ handling). Dimensions that grow with the data are never hinted.
 
 ``broadcast_if_small`` is for sides whose size is bounded by the data model
 (status codes, one row per season, one row per distinct win count) but whose
-size the static planner cannot see. Without it, the big side would be shuffled
+size the static planner cannot know. Without it, the big side would be shuffled
 on a handful of keys before AQE could convert the join.
 """
 
@@ -17,47 +17,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from strata.session import store
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
+BROADCAST_BYTES = 64 << 20
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, *,
-                       checkpoint: bool = False) -> DataFrame:
-    """Broadcast ``df`` only after checking that it has at most ``max_rows`` rows.
 
-    If Catalyst's own estimate is already under the broadcast threshold, Spark
-    broadcasts it anyway and no job runs. Otherwise one job counts at most
-    ``max_rows + 1`` rows; above the bound the frame is returned unchanged and
-    the join stays a shuffle join. With ``checkpoint=True`` the frame is first
-    written to the checkpoint folder, so that the count and the join read it
-    instead of computing it twice.
-    """
-    if planner_sees_small(df):
-        return df
-    if checkpoint:
-        df = df.checkpoint(eager=True)
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
-
-
-def planner_sees_small(df: DataFrame) -> bool:
-    """True when Catalyst's size estimate is under the broadcast threshold
-    (estimates only grow through joins, so this never under-reports a join)."""
-    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    limit = _bytes(threshold)
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return 0 <= limit and int(str(estimate)) <= limit
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only after measuring that it holds at most ``max_bytes``.
 
-
-def _bytes(text: str) -> int:
-    text = str(text).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-             "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if text.endswith(suffix):
-            return int(float(text[: -len(suffix)]) * units[suffix])
-    return int(text)
+    The frame is stored once; one aggregate (a partial sum per task) counts its rows
+    and the bytes of its texts, so the bound is on measured data, not on an estimate.
+    Above the bound, or when the session has switched broadcasts off
+    (``spark.sql.autoBroadcastJoinThreshold`` < 0), the stored frame is returned as it is
+    and the join stays a shuffle join. For sides of few, flat columns.
+    """
+    df = store(df, "side")
+    fixed, texts = 0, F.lit(0)
+    for field in df.schema.fields:
+        fixed += 16
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            texts = texts + F.coalesce(F.octet_length(field.name), F.lit(0))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(texts).alias("bytes")).first()
+    off = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().startswith("-")
+    small = row["n"] * fixed + (row["bytes"] or 0) <= max_bytes
+    return F.broadcast(df) if small and not off else df
 
 
 def _narrow(dim: DataFrame, keys: Sequence[str], columns: Sequence[str] | None) -> DataFrame:
@@ -93,7 +79,7 @@ def inner_enrich(fact: DataFrame, dim: DataFrame, key: str | Sequence[str],
 
 def exclude_keys(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key never occurs in ``other`` (left anti join)."""
-    return df.join(other.select(key).distinct(), key, "left_anti")
+    return df.join(other.select(key), key, "left_anti")
 
 
 def distinct_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:

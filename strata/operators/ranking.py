@@ -1,10 +1,9 @@
 """Rankings, top-k and sorted read-back.
 
-``rank_values`` and ``global_rank`` are the scalable forms of
-``rank().over(Window[.partitionBy(g)].orderBy(v))``. The plain forms move a
-whole group, or without a partition key the whole table (``Exchange
-SinglePartition``), into one task. ``rank_within`` keeps the plain window for
-inputs whose groups are many and small, and for ``row_number``.
+``rank_values`` ranks like ``rank().over(Window[.partitionBy(g)].orderBy(v))``
+without moving a whole group, or without a partition key the whole table, into
+one task. ``rank_within`` keeps the plain window for inputs whose groups are many
+and small, and for ``row_number``.
 """
 
 from __future__ import annotations
@@ -14,11 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.enrich import (DEFAULT_BROADCAST_ROWS, broadcast_if_small,
-                                     planner_sees_small)
+from strata.operators.enrich import broadcast_if_small
+from strata.session import store
 
 _RANKERS = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}
 
+# Collapsed values in one slice (one window task) of ``rank_values``.
+SLICE_ROWS = 500_000
+
 
 def _order(column: str, descending: bool) -> Column:
     return F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_first()
@@ -31,93 +33,56 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
     return df.withColumn(output, _RANKERS[method]().over(w))
 
 
-def global_rank_window(df: DataFrame, order_by: str, output: str, method: str = "rank",
-                       descending: bool = True) -> DataFrame:
-    """Plain single-partition form; kept only to test ``global_rank`` against it."""
-    w = Window.orderBy(_order(order_by, descending))
-    return df.withColumn(output, _RANKERS[method]().over(w))
-
-
 def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, output: str,
-                method: str = "rank", descending: bool = True, buckets: int = 64,
-                window_rows: int = DEFAULT_BROADCAST_ROWS,
-                small_input: bool = False) -> DataFrame:
+                method: str = "rank", descending: bool = True,
+                slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Exact ``rank`` / ``dense_rank`` per group, with no task holding a whole group.
 
-    A window partitioned by season runs one task per season: parallelism is
-    capped by the number of seasons, and a season holding a third of the rows
-    is a third of the work in one task. Here:
-
-    1. rows collapse to one per (group, value) with their count (partial
-       aggregation, so a hot value costs one row per task); this table is
-       checkpointed, being read by every later step;
-    2. each group's value range [min, max] (exact, so every evaluation
-       agrees) is cut into ``buckets`` equal-width slices; ties always share a
-       slice, and slices are ordered like the values;
-    3. per (group, slice) totals, and their running sums per group, give each
-       slice its offset (a table of groups x buckets rows);
-    4. values are ranked inside their (group, slice) and the offset is added;
-    5. the rank is joined back on (group, value), null-safely.
-
-    When the collapsed table is small (the caller knows its input is bounded,
-    ``small_input``; Catalyst's estimate is under the broadcast threshold; or
-    at most ``window_rows`` rows counted on the checkpoint), no group can be
-    large: the values are ranked with a plain window per group and the result
-    is broadcast back (steps 2-4 skipped).
-
-    Results equal ``rank()`` / ``dense_rank()`` over
-    ``Window.partitionBy(*partition_by).orderBy(order_by)``, with nulls last
-    when descending and first when ascending.
+    One path at every size:
+
+    1. the input is stored once, so that the values ranked and the values joined
+       back are the same bits (a sum of doubles may differ between two runs);
+    2. rows collapse to one per (group, value) with their count (partial
+       aggregation, so a hot value costs one row per task);
+    3. the collapsed rows are range-partitioned by (group, value) at sampled
+       quantiles into slices of about ``slice_rows``, and stored with their slice;
+       any orderable type will do, and a hot group spans many slices;
+    4. per (group, slice) totals and their running sums give each slice its offset
+       (one row per group plus one per slice);
+    5. values are ranked inside (group, slice), the offset is added, and the rank
+       is joined back on (group, value), null-safely.
+
+    Equals ``rank()`` / ``dense_rank()`` over
+    ``Window.partitionBy(*partition_by).orderBy(order_by)``, with nulls last when
+    descending and first when ascending.
     """
     if method not in ("rank", "dense_rank"):
         raise ValueError("rank_values supports 'rank' and 'dense_rank'")
     keys = list(partition_by)
-    v, n, b = "__rank_value", "__rank_rows", "__rank_slice"
+    v, n, s = "__rank_value", "__rank_rows", "__rank_slice"
+    df = store(df, "rank-input")
     values = df.groupBy(*keys, F.col(order_by).alias(v)).agg(F.count(F.lit(1)).alias(n))
-    # every step below reads `values` (differently pruned, so Spark cannot reuse
-    # one exchange): write it once to the checkpoint folder instead
-    weight = F.col(n) if method == "rank" else F.lit(1)
-    small = window_rows > 0 and (small_input or planner_sees_small(values))
-    if not small:
-        values = values.checkpoint(eager=True)
-        small = values.limit(window_rows + 1).count() <= window_rows
-    if small:
-        before_value = (Window.partitionBy(*keys).orderBy(_order(v, descending))
-                        .rowsBetween(Window.unboundedPreceding, -1))
-        ranked = values.select(*keys, v, (F.coalesce(F.sum(weight).over(before_value),
-                                                     F.lit(0)) + 1).cast("int").alias(output))
-        return _join_on_keys(df, F.broadcast(ranked), keys, value=(order_by, v)).drop(v)
-    if keys:
-        # from `values`, so every use of it shares one (reused) exchange
-        stats = broadcast_if_small(            # one row per group
-            values.groupBy(*keys).agg(F.min(v).alias("__lo"), F.max(v).alias("__hi")))
-        x, lo, hi = (F.col(c).cast("double") for c in (v, "__lo", "__hi"))
-        with_stats = _join_on_keys(values, stats, keys)
+    # the stored input bounds the number of its values (its count is in the file footers)
+    slices = max(1, -(-df.count() // slice_rows))
+    if slices > 1:
+        values = values.repartitionByRange(slices, *keys, _order(v, descending))
+        values = store(values.withColumn(s, F.spark_partition_id()), "rank-values")
     else:
-        # one group: its range is two scalars (one small aggregate job)
-        row = values.agg(F.min(v).cast("double").alias("lo"),
-                         F.max(v).cast("double").alias("hi")).first()
-        x = F.col(v).cast("double")
-        lo, hi = F.lit(row["lo"]).cast("double"), F.lit(row["hi"]).cast("double")
-        with_stats = values.withColumns({"__lo": lo, "__hi": hi})
-    pos = (hi - x) if descending else (x - lo)
-    slice_ = (F.when(F.col(v).isNull(), F.lit(buckets if descending else -1))
-              .when(hi > lo, F.least(F.floor(pos / (hi - lo) * buckets),
-                                     F.lit(buckets - 1)))
-              .otherwise(F.lit(0)).cast("int"))
-    tagged = with_stats.withColumn(b, slice_).drop("__lo", "__hi")
-    per_slice = tagged.groupBy(*keys, b).agg(F.sum(weight).alias("__slice_weight"))
-    before = (Window.partitionBy(*keys).orderBy(b)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = broadcast_if_small(              # at most buckets + 1 rows per group
-        per_slice.select(*keys, b, F.coalesce(F.sum("__slice_weight").over(before),
-                                              F.lit(0)).alias("__offset")))
-    inside = (Window.partitionBy(*keys, b).orderBy(_order(v, descending))
+        values = values.withColumn(s, F.lit(0))
+    weight = F.col(n) if method == "rank" else F.lit(1)
+    unit = [*keys, s]
+    inside = (Window.partitionBy(*unit).orderBy(_order(v, descending))
               .rowsBetween(Window.unboundedPreceding, -1))
-    ranked = (_join_on_keys(tagged, offsets, [*keys, b])
-              .select(*keys, v, (F.col("__offset") + F.coalesce(F.sum(weight).over(inside),
-                                                                F.lit(0)) + 1)
-                      .cast("int").alias(output)))
+    position = F.coalesce(F.sum(weight).over(inside), F.lit(0)) + 1
+    if slices > 1:
+        totals = values.groupBy(*unit).agg(F.sum(weight).alias("__weight"))
+        before = (Window.partitionBy(*keys).orderBy(s)
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        offsets = totals.select(*unit, F.coalesce(F.sum("__weight").over(before), F.lit(0))
+                                .alias("__offset"))
+        values = _join_on_keys(values, broadcast_if_small(offsets), unit)
+        position = position + F.col("__offset")
+    ranked = values.select(*keys, v, position.cast("int").alias(output))
     return _join_on_keys(df, ranked, keys, value=(order_by, v)).drop(v)
 
 
@@ -134,29 +99,9 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def global_rank(df: DataFrame, order_by: str, output: str, method: str = "rank",
-                descending: bool = True, strategy: str = "auto",
-                buckets: int = 64) -> DataFrame:
-    """Table-wide ``rank`` / ``dense_rank`` without moving the rows into one task.
-
-    ``strategy="auto"`` (default): ``rank_values`` with one group. The distinct
-    values are ranked in one window when they are provably few (counts such as
-    wins: bounded by the largest count, not by the rows), and sliced otherwise.
-    ``strategy="distinct"``: always the one-window form over distinct values.
-    """
-    if strategy in ("auto", "split"):
-        return rank_values(df, [], order_by, output, method, descending, buckets)
-    if method not in ("rank", "dense_rank"):
-        raise ValueError("global_rank supports 'rank' and 'dense_rank'")
-    value = "__rank_value"
-    counts = df.groupBy(F.col(order_by).alias(value)).agg(F.count(F.lit(1)).alias("__rows"))
-    w_values = Window.orderBy(_order(value, descending))
-    if method == "rank":
-        before = w_values.rowsBetween(Window.unboundedPreceding, -1)
-        rank_col = (F.coalesce(F.sum("__rows").over(before), F.lit(0)) + 1).cast("int")
-    else:
-        rank_col = F.dense_rank().over(w_values)
-    ranks = broadcast_if_small(counts.select(value, rank_col.alias(output)), checkpoint=True)
-    return df.join(ranks, df[order_by].eqNullSafe(ranks[value]), "inner").drop(value)
+                descending: bool = True, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Table-wide ``rank`` / ``dense_rank``: ``rank_values`` with one group."""
+    return rank_values(df, [], order_by, output, method, descending, slice_rows)
 
 
 def top_k(df: DataFrame, order_by: Sequence[Column | str], k: int) -> DataFrame:
@@ -172,5 +117,6 @@ def top_k_per_group(df: DataFrame, rank_column: str, k: int) -> DataFrame:
 
 
 def sorted_for_read(df: DataFrame, *order_by: Column | str) -> DataFrame:
-    """Read-side ordering. Stored tables carry no order, so sinks never sort."""
+    """Read-side ordering. Stored tables carry no order, so sinks never sort. Callers
+    pass a unique key last."""
     return df.orderBy(*order_by)

@@ -8,20 +8,24 @@ by key), which also partial-aggregates and so survives a hot key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from strata.functions.columns import conditional_count
 
 
+def exact_sum(column: str) -> Column:
+    """Sum as a decimal with four places, returned as double: the same whatever the
+    order in which partial sums meet (values with more places are rounded)."""
+    return F.sum(F.col(column).cast("decimal(18,4)")).cast("double")
+
+
 def career_aggregates(points: str = "points", win: str = "is_win", podium: str = "is_podium",
                       season: str = "race_year", distinct_of: str | None = None,
                       approximate_distinct: bool = False,
                       rsd: float = 0.01) -> list[Column]:
     aggs = [
-        F.sum(points).alias("total_points"),
+        exact_sum(points).alias("total_points"),
         conditional_count(win).alias("total_wins"),
         conditional_count(podium).alias("total_podiums"),
     ]
@@ -33,16 +37,8 @@ def career_aggregates(points: str = "points", win: str = "is_win", podium: str =
     return aggs
 
 
-def rollup(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
-    return df.groupBy(*keys).agg(*aggregates)
-
-
 def season_totals(points: str = "points", win: str = "is_win",
                   podium: str = "is_podium") -> list[Column]:
-    return [F.sum(points).alias("total_points"),
+    return [exact_sum(points).alias("total_points"),
             conditional_count(win).alias("wins"),
             conditional_count(podium).alias("podiums")]
-
-
-def count_rows(name: str = "n") -> Column:
-    return F.count(F.lit(1)).cast("int").alias(name)

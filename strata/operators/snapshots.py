@@ -9,7 +9,7 @@ match is null-safe, because the window form also keeps a null-season partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.enrich import broadcast_if_small
@@ -18,21 +18,13 @@ from strata.operators.enrich import broadcast_if_small
 def last_round_rows(df: DataFrame, season: str, round_col: str) -> DataFrame:
     last = df.groupBy(F.col(season).alias("__season")).agg(
         F.max(round_col).alias("__last_round"))
-    last = broadcast_if_small(last, checkpoint=True)      # one row per season
+    last = broadcast_if_small(last)      # one row per season
     cond = df[season].eqNullSafe(last["__season"]) & (df[round_col] == last["__last_round"])
     return df.join(last, cond, "inner").drop("__season", "__last_round")
 
 
-def last_round_rows_window(df: DataFrame, season: str, round_col: str) -> DataFrame:
-    """Whole-partition window form (the modelled shape), for equivalence tests."""
-    w = Window.partitionBy(season)
-    return (df.withColumn("__last_round", F.max(round_col).over(w))
-            .filter(F.col(round_col) == F.col("__last_round")).drop("__last_round"))
-
-
 def last_round_leaders(df: DataFrame, season: str, round_col: str, position: str,
-                       leader: int = 1, windowed: bool = False) -> DataFrame:
+                       leader: int = 1) -> DataFrame:
     """Position-``leader`` rows at the last round present; ties give several
     leaders, a last round without that position gives none."""
-    rows = (last_round_rows_window if windowed else last_round_rows)(df, season, round_col)
-    return rows.filter(F.col(position) == leader)
+    return last_round_rows(df, season, round_col).filter(F.col(position) == leader)

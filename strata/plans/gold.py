@@ -1,9 +1,8 @@
 """Gold layer: the six reporting tables, as pure functions of silver frames.
 
-``windowed=True`` selects the plain window shapes of the modelled pipeline
-(single-partition rank, whole-partition max); the default forms are the
-scalable equivalents (see ``strata.operators.ranking`` / ``snapshots``).
-None of them sorts: stored tables carry no order, readers sort.
+Rankings and last-round rows use the forms that keep no whole group in one task
+(see ``strata.operators.ranking`` / ``snapshots``). None of the builders sorts:
+stored tables carry no order, readers sort.
 """
 
 from __future__ import annotations
@@ -11,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.enrich import exclude_keys, inner_enrich, planner_sees_small
-from strata.operators.ranking import (global_rank, global_rank_window, rank_values,
-                                      rank_within)
+from strata.operators.enrich import exclude_keys, inner_enrich
+from strata.operators.ranking import global_rank, rank_values
 from strata.operators.rollups import career_aggregates, season_totals
 from strata.operators.snapshots import last_round_leaders
 from strata.operators.streaks import consecutive_streaks
@@ -40,25 +38,10 @@ def season_totals_by_constructor(fact: DataFrame, constructors: DataFrame) -> Da
             .agg(*season_totals()))
 
 
-def constructor_standings(fact: DataFrame, constructors: DataFrame, *,
-                          windowed: bool = False) -> DataFrame:
-    """Season totals ranked per season with dense_rank (ties share a rank).
-
-    The default splits every season into value slices (``rank_values``), so
-    neither the number of seasons nor one big season limits the parallelism.
-    """
+def constructor_standings(fact: DataFrame, constructors: DataFrame) -> DataFrame:
+    """Season totals ranked per season with dense_rank (ties share a rank)."""
     totals = season_totals_by_constructor(fact, constructors)
-    if windowed:
-        return rank_within(totals, ["race_year"], "total_points", "season_rank", "dense_rank")
-    # Season totals never outnumber the facts (dimensions are keyed). If the
-    # planner sees the facts as small, so are the totals: rank them directly.
-    # Otherwise the ranking reads them twice (collapse, join back), so write
-    # them once rather than joining and aggregating the facts twice.
-    small = planner_sees_small(fact)
-    if not small:
-        totals = totals.checkpoint(eager=True)
-    ranked = rank_values(totals, ["race_year"], "total_points", "season_rank", "dense_rank",
-                         small_input=small)
+    ranked = rank_values(totals, ["race_year"], "total_points", "season_rank", "dense_rank")
     return ranked.select("race_year", "constructor_id", "constructor_name", "total_points",
                          "wins", "podiums", "season_rank")
 
@@ -71,21 +54,17 @@ def constructor_dominance(standings: DataFrame, min_length: int = 2) -> DataFram
                                window_partition=["constructor_id"], min_length=min_length)
 
 
-def season_champions(standings: DataFrame, drivers: DataFrame, *,
-                     windowed: bool = False) -> DataFrame:
-    leaders = last_round_leaders(standings, "race_year", "round", "position",
-                                 windowed=windowed)
+def season_champions(standings: DataFrame, drivers: DataFrame) -> DataFrame:
+    leaders = last_round_leaders(standings, "race_year", "round", "position")
     return (inner_enrich(leaders, drivers, "driver_id", ["full_name"])
             .select("race_year", "driver_id", "full_name",
                     F.col("points").alias("champion_points")))
 
 
-def drivers_without_title(career: DataFrame, champions: DataFrame, *,
-                          windowed: bool = False) -> DataFrame:
+def drivers_without_title(career: DataFrame, champions: DataFrame) -> DataFrame:
     """Drivers with at least one win who never appear among the champions,
     ranked table-wide by wins (rank: gaps after ties)."""
     candidates = exclude_keys(career, champions, "driver_id").filter(F.col("total_wins") > 0)
-    ranker = global_rank_window if windowed else global_rank
-    ranked = ranker(candidates, "total_wins", "rank_by_wins", "rank")
+    ranked = global_rank(candidates, "total_wins", "rank_by_wins", "rank")
     return ranked.select("driver_id", "full_name", "total_wins", "total_points",
                          "rank_by_wins")

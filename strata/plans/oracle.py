@@ -3,7 +3,8 @@
 The SQL is written independently of the Spark forms: it uses the plain window
 shapes (table-wide ``rank()``, ``max() OVER (PARTITION BY season)``) where
 the Spark side uses the scalable rewrites, so a match also checks those
-rewrites. Types are cast to Spark's (``rank`` -> INTEGER, sums of ints ->
+rewrites at the size of the run. Queries about an order return the position as a
+column. Types are cast to Spark's (``rank`` -> INTEGER, sums of ints ->
 BIGINT), and null ordering is written out (Spark: ASC NULLS FIRST, DESC
 NULLS LAST).
 """
@@ -31,12 +32,12 @@ SELECT c.c_custkey AS driver_id, lower(c.c_name) AS driverRef,
        n.n_name AS nationality
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""",
     "b_races": f"""
-SELECT o.o_orderkey AS race_id, {SEASON.format(c='o.o_orderdate')} AS race_year,
+SELECT CASE WHEN o.o_orderstatus = 'P' THEN -1 - o.o_orderkey ELSE o.o_orderkey END AS race_id,
+       {SEASON.format(c='o.o_orderdate')} AS race_year,
        {ROUND.format(c='o.o_orderdate')} AS round, c.c_nationkey AS circuit_id,
        'order ' || CAST(o.o_orderkey AS VARCHAR) AS name,
        CAST(o.o_orderdate AS DATE) AS date_race
-FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
-WHERE o.o_orderstatus <> 'P'""",
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""",
     "b_results": """
 SELECT l.l_orderkey * 8 + l.l_linenumber AS result_id, l.l_orderkey AS race_id,
        o.o_custkey AS driver_id, l.l_suppkey AS constructor_id,
@@ -101,14 +102,14 @@ SELECT s.driverStandingsId AS driver_standings_id, d.race_id, s.driverId AS driv
 FROM b_standings s LEFT JOIN dim_races d ON s.raceId = d.race_id""",
     # ---- gold -----------------------------------------------------------------
     "constructor_career": """
-SELECT f.constructor_id, c.constructor_name, c.nationality, sum(f.points) AS total_points,
+SELECT f.constructor_id, c.constructor_name, c.nationality, CAST(sum(CAST(f.points AS DECIMAL(18, 4))) AS DOUBLE) AS total_points,
        CAST(sum(CAST(f.is_win AS INTEGER)) AS INTEGER) AS total_wins,
        CAST(sum(CAST(f.is_podium AS INTEGER)) AS INTEGER) AS total_podiums,
        min(f.race_year) AS first_season, max(f.race_year) AS last_season
 FROM fact_results f JOIN dim_constructors c ON f.constructor_id = c.constructor_id
 GROUP BY f.constructor_id, c.constructor_name, c.nationality""",
     "driver_career": """
-SELECT f.driver_id, d.full_name, d.nationality, sum(f.points) AS total_points,
+SELECT f.driver_id, d.full_name, d.nationality, CAST(sum(CAST(f.points AS DECIMAL(18, 4))) AS DOUBLE) AS total_points,
        CAST(sum(CAST(f.is_win AS INTEGER)) AS INTEGER) AS total_wins,
        CAST(sum(CAST(f.is_podium AS INTEGER)) AS INTEGER) AS total_podiums,
        CAST(count(DISTINCT f.race_id) AS INTEGER) AS races_disputed,
@@ -116,7 +117,7 @@ SELECT f.driver_id, d.full_name, d.nationality, sum(f.points) AS total_points,
 FROM fact_results f JOIN dim_drivers d ON f.driver_id = d.driver_id
 GROUP BY f.driver_id, d.full_name, d.nationality""",
     "season_totals": """
-SELECT f.race_year, f.constructor_id, c.constructor_name, sum(f.points) AS total_points,
+SELECT f.race_year, f.constructor_id, c.constructor_name, CAST(sum(CAST(f.points AS DECIMAL(18, 4))) AS DOUBLE) AS total_points,
        CAST(sum(CAST(f.is_win AS INTEGER)) AS INTEGER) AS wins,
        CAST(sum(CAST(f.is_podium AS INTEGER)) AS INTEGER) AS podiums
 FROM fact_results f JOIN dim_constructors c ON f.constructor_id = c.constructor_id
@@ -131,10 +132,23 @@ SELECT constructor_id, constructor_name, race_year,
        CAST(row_number() OVER (PARTITION BY constructor_id ORDER BY race_year ASC NULLS FIRST)
             AS INTEGER) AS row_number
 FROM constructor_standings WHERE season_rank = 1""",
+    "nation_totals": """
+SELECT f.race_year, n.n_nationkey AS constructor_id, n.n_name AS constructor_name,
+       sum(CAST(f.points AS DECIMAL(18, 4))) AS total_points
+FROM fact_results f JOIN supplier s ON f.constructor_id = s.s_suppkey
+JOIN nation n ON s.s_nationkey = n.n_nationkey
+GROUP BY f.race_year, n.n_nationkey, n.n_name""",
+    "nation_leaders": """
+SELECT constructor_id, constructor_name, race_year,
+       CAST(row_number() OVER (PARTITION BY constructor_id ORDER BY race_year ASC NULLS FIRST)
+            AS INTEGER) AS row_number
+FROM (SELECT *, dense_rank() OVER (PARTITION BY race_year ORDER BY total_points DESC) AS season_rank
+      FROM nation_totals)
+WHERE season_rank = 1""",
     "constructor_dominance": """
 SELECT constructor_id, constructor_name, min(race_year) AS streak_start_year,
        max(race_year) AS streak_end_year, CAST(count(*) AS INTEGER) AS streak_length
-FROM leaders
+FROM nation_leaders
 GROUP BY constructor_id, constructor_name, race_year - row_number
 HAVING count(*) >= 2""",
     "last_round": """
@@ -164,7 +178,8 @@ _DEPS = {
     "season_totals": ["fact_results", "dim_constructors"],
     "constructor_standings": ["season_totals"],
     "leaders": ["constructor_standings"],
-    "constructor_dominance": ["leaders"],
+    "nation_totals": ["fact_results"], "nation_leaders": ["nation_totals"],
+    "constructor_dominance": ["nation_leaders"],
     "last_round": ["fact_driver_standings"],
     "season_champions": ["last_round", "dim_drivers"],
     "drivers_without_title": ["driver_career", "season_champions"],
@@ -199,12 +214,14 @@ def table(name: str) -> str:
 
 RANGE = "race_year BETWEEN 23964 AND 23999"   # 1997-01 .. 1999-12 as month indices
 
+POSITION = "CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS position"
+
 _CSV_RACES = """
 SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL
             ELSE o_orderkey END AS race_id,
        CAST(year(o_orderdate) AS INTEGER) AS race_year,
        CAST(month(o_orderdate) AS INTEGER) AS round,
-       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_custkey AS INTEGER) END AS circuit_id,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS circuit_id,
        o_orderpriority || ', ' || o_orderstatus AS name,
        CAST(o_orderdate AS DATE) AS date_race,
        CASE WHEN o_orderstatus = 'P' THEN '\\N' ELSE '12:00:00' END AS time
@@ -219,6 +236,7 @@ def _flag(flag: str, source: str) -> str:
 ORACLE: dict[str, str] = {
     # sources
     "csv_explicit_schema": _CSV_RACES,
+    "object_store_path": _CSV_RACES,
     "csv_rejects": f"SELECT * FROM ({_CSV_RACES}) WHERE race_id IS NULL",
     "csv_infer_schema": """
 SELECT CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW'
@@ -235,9 +253,13 @@ FROM b_results""", "b_results"),
     # sinks
     "layer_roundtrip": table("dim_drivers"),
     "overwrite_idempotent": table("constructor_career"),
-    "partitioned_overwrite": with_ctes(f"SELECT * FROM dim_races WHERE {RANGE}", "dim_races"),
-    "sql_readback": with_ctes("SELECT * FROM constructor_standings WHERE season_rank = 1",
-                              "constructor_standings"),
+    "partitioned_overwrite": table("dim_races"),
+    "layer_lifecycle": with_ctes("""
+SELECT *, TRUE AS in_layer, CAST(0 AS INTEGER) AS tables_left, TRUE AS layer_gone
+FROM dim_circuits""", "dim_circuits"),
+    "sql_readback": with_ctes(f"""
+SELECT *, {POSITION.format(order='race_year DESC NULLS LAST, constructor_id')}
+FROM constructor_standings WHERE season_rank = 1""", "constructor_standings"),
     "schema_contract": table("driver_career"),
     # projections, casts, flags
     "project_rename": """
@@ -277,6 +299,17 @@ FROM fact_results GROUP BY driver_id""", "fact_results"),
                                "season_champions"),
     # windows
     "season_standings_dense_rank": table("constructor_standings"),
+    "standings_fractional_points": with_ctes("""
+SELECT *, CAST(dense_rank() OVER (PARTITION BY race_year ORDER BY total_points DESC NULLS LAST)
+               AS INTEGER) AS season_rank
+FROM (SELECT d.race_year, l.l_suppkey AS constructor_id, c.constructor_name,
+             CAST(sum(CAST(l.l_extendedprice AS DECIMAL(18, 4))) AS DOUBLE) AS total_points,
+             CAST(sum(CAST(l.l_linenumber = 1 AS INTEGER)) AS INTEGER) AS wins,
+             CAST(sum(CAST(l.l_linenumber IN (1, 2, 3) AS INTEGER)) AS INTEGER) AS podiums
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+      LEFT JOIN dim_races d ON l.l_orderkey = d.race_id
+      JOIN dim_constructors c ON l.l_suppkey = c.constructor_id
+      GROUP BY 1, 2, 3)""", "dim_races", "dim_constructors"),
     "entity_row_number": table("leaders"),
     "consecutive_streaks": table("constructor_dominance"),
     "driver_season_streaks": with_ctes("""
@@ -295,8 +328,15 @@ HAVING count(*) >= 2""", "fact_driver_standings"),
     "topk_career": with_ctes("""
 SELECT * FROM driver_career ORDER BY total_points DESC NULLS LAST, driver_id ASC NULLS FIRST
 LIMIT 20""", "driver_career"),
-    "sorted_career": table("constructor_career"),
-    "sorted_standings": table("constructor_standings"),
+    "sorted_career": with_ctes(f"""
+SELECT *, {POSITION.format(order='total_points DESC NULLS LAST, constructor_id')}
+FROM constructor_career""", "constructor_career"),
+    "sorted_standings": with_ctes(f"""
+SELECT *, {POSITION.format(order='race_year NULLS FIRST, season_rank, constructor_id')}
+FROM constructor_standings""", "constructor_standings"),
+    "limit_preview": with_ctes("""
+SELECT least(20, count(*)) AS n_rows, least(20, count(*)) AS n_in_source FROM dim_drivers""",
+                               "dim_drivers"),
     "dash_top10_drivers": with_ctes("""
 SELECT driver_id, full_name, nationality, total_wins FROM driver_career
 ORDER BY total_wins DESC NULLS LAST, driver_id ASC NULLS FIRST LIMIT 10""", "driver_career"),
@@ -312,6 +352,9 @@ ORDER BY total_wins DESC NULLS LAST, constructor_id ASC NULLS FIRST LIMIT 10""",
     "dash_streaks": with_ctes("""
 SELECT constructor_name, streak_start_year, streak_end_year, streak_length
 FROM constructor_dominance""", "constructor_dominance"),
+    "dash_top5_chosen_season": with_ctes(
+        "SELECT * FROM constructor_standings WHERE race_year = 23964 AND season_rank <= 5",
+        "constructor_standings"),
     "dash_top5_selected_season": with_ctes("""
 SELECT * FROM constructor_standings
 WHERE race_year = (SELECT max(race_year) FROM constructor_standings) AND season_rank <= 5""",

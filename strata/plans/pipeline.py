@@ -13,11 +13,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.columns import project, with_audit_column
 from strata.plans import gold, schemas, silver
 from strata.sinks.tables import create_layer, drop_layer, drop_table, overwrite_table
-from strata.sources.csv import ingest, read_csv_positional, source_path
+from strata.sources.csv import header_errors, ingest, read_csv_positional, source_path
 from strata.sources.tables import read_table, sql_readback
 
 ENVIRONMENTS = ("dev", "prod")
@@ -32,6 +33,7 @@ class PipelineConfig:
     catalog_base: str = "strata"
     source_root: str = ""
     warehouse_root: str = ""
+    id_type: T.DataType = schemas.INT     # LongType() for keys beyond 32 bits
 
     def __post_init__(self):
         object.__setattr__(self, "env", self.env.strip().lower())
@@ -63,7 +65,8 @@ def create_layers(spark: SparkSession, config: PipelineConfig) -> None:
 
 def reset_layers(spark: SparkSession, config: PipelineConfig) -> None:
     """Drop every table, then each layer database (CASCADE removes managed files)."""
-    for layer, names in (("bronze", ENTITIES), ("silver", tuple(schemas.SILVER_COLUMNS)),
+    rejected = tuple(f"{e}_rejected" for e in ENTITIES)
+    for layer, names in (("bronze", ENTITIES + rejected), ("silver", tuple(schemas.SILVER_COLUMNS)),
                          ("gold", tuple(schemas.GOLD_COLUMNS))):
         if spark.catalog.databaseExists(config.database(layer)):
             for name in names:
@@ -74,23 +77,28 @@ def reset_layers(spark: SparkSession, config: PipelineConfig) -> None:
 # ---- bronze -------------------------------------------------------------------------
 def bronze_frame(spark: SparkSession, config: PipelineConfig, entity: str) -> DataFrame:
     raw = read_csv_positional(spark, source_path(config.source_root, entity),
-                              schemas.raw_schema(entity))
+                              schemas.raw_schema(entity, config.id_type))
     return with_audit_column(project(raw, schemas.BRONZE_RENAMES[entity]))
 
 
-def bronze_key(entity: str) -> str:
-    raw_key = schemas.RAW_KEYS[entity][0]
-    return dict(schemas.BRONZE_RENAMES[entity])[raw_key]
+def quarantine_table(config: PipelineConfig, entity: str) -> str:
+    return config.table("bronze", f"{entity}_rejected")
 
 
-def load_bronze(spark: SparkSession, config: PipelineConfig, entity: str) -> int:
-    """Write one bronze table; returns the number of rows whose key is null."""
+def load_bronze(spark: SparkSession, config: PipelineConfig, entity: str) -> dict[str, int]:
+    """Write one bronze table and, beside it, the rows whose own key is null (missing or
+    unparsable); silver leaves those out. Returns the number of nulls per key column,
+    foreign keys included."""
     target = config.table("bronze", entity)
-    overwrite_table(bronze_frame(spark, config, entity), target,
-                    partition_by=schemas.BRONZE_PARTITIONS.get(entity, ()),
-                    contract=schemas.bronze_schema(entity))
+    with header_errors():
+        overwrite_table(bronze_frame(spark, config, entity), target,
+                        partition_by=schemas.BRONZE_PARTITIONS.get(entity, ()),
+                        contract=schemas.bronze_schema(entity, config.id_type))
     written = read_table(spark, target)
-    return ingest(written, [bronze_key(entity)]).reject_count().first()["rejects"]
+    own, foreign = schemas.bronze_keys(entity)
+    overwrite_table(ingest(written, own).rejects, quarantine_table(config, entity))
+    counts = written.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in own + foreign])
+    return counts.first().asDict()
 
 
 # ---- silver / gold ----------------------------------------------------------------------
@@ -99,7 +107,8 @@ def _read(spark, config, layer, name):
 
 
 def silver_frames(spark: SparkSession, config: PipelineConfig) -> dict:
-    b = lambda n: _read(spark, config, "bronze", n)
+    b = lambda n: ingest(_read(spark, config, "bronze", n),
+                         schemas.bronze_keys(n)[0]).accepted
     return {
         "dim_circuits": lambda: silver.dim_circuits(b("circuits")),
         "dim_drivers": lambda: silver.dim_drivers(b("drivers")),
@@ -143,10 +152,10 @@ ORDER = [
 ]
 
 
-def run_pipeline(spark: SparkSession, config: PipelineConfig) -> dict[str, int]:
-    """Full refresh of all 20 tables; returns the reject count of each ingest."""
+def run_pipeline(spark: SparkSession, config: PipelineConfig) -> dict[str, dict[str, int]]:
+    """Full refresh of all 20 tables; returns the null keys of each ingest."""
     create_layers(spark, config)
-    rejects: dict[str, int] = {}
+    rejects: dict[str, dict[str, int]] = {}
     silver_specs = gold_specs = None
     for layer, name in ORDER:
         if layer == "bronze":
@@ -155,30 +164,17 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> dict[str, int]:
         if layer == "silver":
             silver_specs = silver_specs or silver_frames(spark, config)
             df = silver_specs[name]()
-            contract = schemas.silver_schema(name)
+            contract = schemas.silver_schema(name, config.id_type)
             parts = schemas.SILVER_PARTITIONS.get(name, ())
         else:
             gold_specs = gold_specs or gold_frames(spark, config)
             df = gold_specs[name]()
-            contract = schemas.gold_schema(name)
+            contract = schemas.gold_schema(name, config.id_type)
             parts = schemas.GOLD_PARTITIONS.get(name, ())
         overwrite_table(df, config.table(layer, name), partition_by=parts, contract=contract)
     return rejects
 
 
-def read_sorted(spark: SparkSession, config: PipelineConfig, table: str) -> DataFrame:
-    """Read-back ordering for the gold tables (sorting belongs to the reader)."""
-    orders = {
-        "driver_career": [F.col("total_points").desc(), "driver_id"],
-        "constructor_career": [F.col("total_points").desc(), "constructor_id"],
-        "constructor_standings": ["race_year", "season_rank", "constructor_id"],
-        "constructor_dominance": [F.col("streak_length").desc(), "constructor_id"],
-        "season_champions": ["race_year", "driver_id"],
-        "drivers_without_title": [F.col("total_wins").desc(), "driver_id"],
-    }
-    return _read(spark, config, "gold", table).orderBy(*orders[table])
-
-
 # The read-back each load is checked with: (layer, where, order by, limit).
 READBACKS = {
     "results": ("bronze", None, (), None),
@@ -219,11 +215,13 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--source-root", required=True, help="folder holding <entity>.csv")
     parser.add_argument("--warehouse-root", required=True, help="folder for layer databases")
     parser.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
+    parser.add_argument("--wide-keys", action="store_true", help="64-bit keys")
     parser.add_argument("--reset", action="store_true", help="drop the three layers and exit")
     args = parser.parse_args(argv)
     config = PipelineConfig(env=args.env, catalog_base=args.catalog_base,
-                            source_root=args.source_root, warehouse_root=args.warehouse_root)
-    spark = build_session(args.master) if args.master else SparkSession.builder.getOrCreate()
+                            source_root=args.source_root, warehouse_root=args.warehouse_root,
+                            id_type=T.LongType() if args.wide_keys else schemas.INT)
+    spark = build_session(args.master)
     if args.reset:
         reset_layers(spark, config)
         return 0

@@ -17,12 +17,13 @@ from pyspark.sql import types as T
 from strata.functions.columns import (clean_null_markers, cast_columns, rename,
                                       with_audit_column)
 from strata.operators.enrich import distinct_keys, duplicate_keys
-from strata.operators.ranking import sorted_for_read, top_k, top_k_per_group
+from strata.operators.ranking import global_rank, sorted_for_read, top_k, top_k_per_group
 from strata.operators.streaks import with_row_number
-from strata.plans import dashboard, schemas
-from strata.session import scratch_path
-from strata.sinks.tables import check_contract, create_layer, overwrite_table
-from strata.sources.csv import ingest, read_csv_positional
+from strata.plans import dashboard, gold, schemas, silver
+from strata.session import scratch_path, store
+from strata.sinks.tables import (check_contract, create_layer, current_namespace, drop_layer,
+                                 drop_table, list_layers, overwrite_table, preview, use_layer)
+from strata.sources.csv import ingest, profile_csv, read_csv_positional, source_path
 from strata.sources.exports import export_races_csv
 from strata.sources.standins import StandInTables
 from strata.sources.tables import read_table, sql_readback
@@ -51,18 +52,21 @@ def _gold_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # ---- sources -----------------------------------------------------------------------
-def _races_raw_schema() -> T.StructType:
-    # the raw races schema with a 64-bit key: order keys outgrow int at scale
-    fields = schemas.raw_schema("races").fields
-    fields[0] = T.StructField("raceId", T.LongType(), False)
-    return T.StructType(fields)
+def _races(spark: SparkSession, path: str) -> DataFrame:
+    raw = read_csv_positional(spark, path, schemas.raw_schema("races", T.LongType()))
+    pairs = [(s, d) for s, d in schemas.BRONZE_RENAMES["races"]] + [("time", "time")]
+    return raw.select(*[F.col(s).alias(d) for s, d in pairs])
 
 
 def _bronze_races_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = export_races_csv(_t(spark, sf_dir))
-    raw = read_csv_positional(spark, path, _races_raw_schema())
-    pairs = [(s, d) for s, d in schemas.BRONZE_RENAMES["races"]] + [("time", "time")]
-    return raw.select(*[F.col(s).alias(d) for s, d in pairs])
+    return _races(spark, export_races_csv(_t(spark, sf_dir)))
+
+
+def object_store_path(spark, sf_dir):
+    """The export read through a full URI, as ``<root>/<entity>.csv``."""
+    path = export_races_csv(_t(spark, sf_dir), entity="races")
+    root = path.rsplit("/", 1)[0]
+    return _races(spark, source_path(root if ":/" in root else f"file://{root}", "races"))
 
 
 def csv_explicit_schema(spark, sf_dir):
@@ -81,8 +85,9 @@ def normalize_null_markers(spark, sf_dir):
 
 def csv_infer_schema(spark, sf_dir):
     path = export_races_csv(_t(spark, sf_dir))
-    inferred = (spark.read.option("header", True).option("inferSchema", True).csv(path))
-    return inferred.select("raceId", "year", "round", "circuitId", "name", "date", "time")
+    inferred = profile_csv(spark, path, sampling_ratio=0.1)
+    return read_csv_positional(spark, path, inferred).select(
+        "raceId", "year", "round", "circuitId", "name", "date", "time")
 
 
 # ---- sinks -------------------------------------------------------------------------
@@ -113,8 +118,27 @@ def partitioned_overwrite(spark, sf_dir):
     t = _t(spark, sf_dir)
     db = _scratch_layer(spark, "partitioned")
     overwrite_table(t.silver["dim_races"], f"{db}.dim_races", partition_by=["race_year"])
-    return (read_table(spark, f"{db}.dim_races")
-            .filter(F.col("race_year").between(RANGE_FROM, RANGE_TO)))
+    return read_table(spark, f"{db}.dim_races")
+
+
+def layer_lifecycle(spark, sf_dir):
+    """Create a layer, use it, read a table by its short name, drop table and layer."""
+    db, before = _scratch_layer(spark, "lifecycle"), current_namespace(spark)[1]
+    overwrite_table(_t(spark, sf_dir).silver["dim_circuits"], f"{db}.dim_circuits")
+    use_layer(spark, db)
+    rows = store(spark.table("dim_circuits")
+                 .withColumn("in_layer", F.expr("current_schema()") == db), "lifecycle")
+    use_layer(spark, before)
+    drop_table(spark, f"{db}.dim_circuits")
+    left = len(spark.catalog.listTables(db))
+    drop_layer(spark, db)
+    return rows.withColumns({"tables_left": F.lit(left), "layer_gone": F.lit(db not in list_layers(spark, db))})
+
+
+def _with_position(ordered: DataFrame) -> DataFrame:
+    """The place of every row in the order in which the frame is read."""
+    at = ordered.withColumn("__at", F.monotonically_increasing_id())
+    return global_rank(at, "__at", "position", descending=False).drop("__at")
 
 
 def sql_readback_query(spark, sf_dir):
@@ -122,8 +146,9 @@ def sql_readback_query(spark, sf_dir):
     db = _scratch_layer(spark, "readback")
     overwrite_table(t.gold("constructor_standings"), f"{db}.constructor_standings",
                     partition_by=["race_year"])
-    return sql_readback(spark, f"{db}.constructor_standings", where="season_rank = 1",
-                        order_by=["race_year DESC"])
+    return _with_position(sql_readback(
+        spark, f"{db}.constructor_standings", where="season_rank = 1",
+        order_by=["race_year DESC", "constructor_id"]))
 
 
 def schema_contract(spark, sf_dir):
@@ -208,24 +233,43 @@ def topk_career(spark, sf_dir):
 
 
 def sorted_career(spark, sf_dir):
-    return sorted_for_read(_gold_table(spark, sf_dir, "constructor_career"),
-                           F.col("total_points").desc())
+    return _with_position(sorted_for_read(
+        _gold_table(spark, sf_dir, "constructor_career"), F.col("total_points").desc(),
+        "constructor_id"))
 
 
 def sorted_standings(spark, sf_dir):
-    return sorted_for_read(_gold_table(spark, sf_dir, "constructor_standings"),
-                           "race_year", "season_rank")
+    return _with_position(sorted_for_read(
+        _gold_table(spark, sf_dir, "constructor_standings"), "race_year", "season_rank",
+        "constructor_id"))
 
 
 def limit_preview(spark, sf_dir):
-    from strata.sinks.tables import preview
-    return preview(_t(spark, sf_dir).silver["dim_drivers"], 20)
+    """Which rows an unordered LIMIT returns is open: how many it returns, and how many
+    of them are rows of the source, is not."""
+    source = _t(spark, sf_dir).stored("dim_drivers")
+    shown = store(preview(source, 20), "preview")
+    found = shown.join(source, [shown[c].eqNullSafe(source[c]) for c in shown.columns], "left_semi")
+    return shown.agg(F.count("*").alias("n_rows")).join(
+        found.agg(F.count("*").alias("n_in_source")))
+
+
+def standings_fractional_points(spark, sf_dir):
+    """Season standings of points with cents, computed from the tables on every read."""
+    t = _t(spark, sf_dir)
+    fact = silver.fact_results(t.results("l_extendedprice"), t.stored("dim_races"),
+                               t.stored("dim_status"))
+    return gold.constructor_standings(fact, t.stored("dim_constructors"))
 
 
 def dash(view: str, source: str) -> Query:
     return lambda spark, sf_dir: getattr(dashboard, view)(_gold_table(spark, sf_dir, source))
 
 
+def dash_top5_chosen_season(spark, sf_dir):
+    return dashboard.top_n_of_season(_gold_table(spark, sf_dir, "constructor_standings"), RANGE_FROM)
+
+
 def dash_top5_of_season(spark, sf_dir):
     standings = _gold_table(spark, sf_dir, "constructor_standings")
     return top_k_per_group(standings, "season_rank", 5)
@@ -234,6 +278,7 @@ def dash_top5_of_season(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     # sources
     "csv_explicit_schema": csv_explicit_schema,
+    "object_store_path": object_store_path,
     "csv_rejects": csv_rejects,
     "csv_infer_schema": csv_infer_schema,
     "normalize_null_markers": normalize_null_markers,
@@ -241,6 +286,7 @@ QUERIES: dict[str, Query] = {
     "layer_roundtrip": layer_roundtrip,
     "overwrite_idempotent": overwrite_idempotent,
     "partitioned_overwrite": partitioned_overwrite,
+    "layer_lifecycle": layer_lifecycle,
     "sql_readback": sql_readback_query,
     "schema_contract": schema_contract,
     # projections, casts, flags
@@ -267,6 +313,7 @@ QUERIES: dict[str, Query] = {
     "distinct_keys": distinct_keys_query,
     # windows
     "season_standings_dense_rank": _gold("constructor_standings"),
+    "standings_fractional_points": standings_fractional_points,
     "entity_row_number": entity_row_number,
     "consecutive_streaks": _gold("constructor_dominance"),
     "driver_season_streaks": driver_season_streaks,
@@ -284,5 +331,6 @@ QUERIES: dict[str, Query] = {
     "dash_uncrowned": dash("uncrowned", "drivers_without_title"),
     "dash_streaks": dash("streaks", "constructor_dominance"),
     "dash_top5_of_season": dash_top5_of_season,
+    "dash_top5_chosen_season": dash_top5_chosen_season,
     "dash_top5_selected_season": dash("top_n_of_latest_season", "constructor_standings"),
 }

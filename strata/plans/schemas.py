@@ -51,6 +51,10 @@ RAW_COLUMNS = {
     ],
 }
 
+# Columns that ``id_type`` widens.
+ID_COLUMNS = frozenset({"circuitId", "constructorId", "driverId", "raceId", "resultId",
+                        "driverStandingsId"})
+
 # Key columns of each raw input: a null here (unparsable or missing) is a reject.
 RAW_KEYS = {
     "circuits": ["circuitId"], "constructors": ["constructorId"], "status": ["statusId"],
@@ -87,6 +91,7 @@ BRONZE_RENAMES = {
 
 BRONZE_PARTITIONS = {"races": ["race_year"]}
 
+# --- Fixed values: the layouts of the silver and gold tables ---------------------
 # Silver and gold: (column, type); "ID" marks key columns that follow id_type.
 ID = "ID"
 SILVER_COLUMNS = {
@@ -133,20 +138,24 @@ GOLD_COLUMNS = {
 GOLD_PARTITIONS = {"constructor_standings": ["race_year"]}
 
 
-def raw_schema(entity: str) -> T.StructType:
-    return T.StructType([T.StructField(n, t, nl) for n, t, nl in RAW_COLUMNS[entity]])
+def raw_schema(entity: str, id_type: T.DataType = INT) -> T.StructType:
+    return T.StructType([T.StructField(n, id_type if n in ID_COLUMNS else t, nl)
+                         for n, t, nl in RAW_COLUMNS[entity]])
 
 
 def bronze_schema(entity: str, id_type: T.DataType = INT) -> T.StructType:
-    raw = {n: t for n, t, _ in RAW_COLUMNS[entity]}
-    fields = []
-    for src, dst in BRONZE_RENAMES[entity]:
-        typ = raw[src]
-        if src in RAW_KEYS[entity] or (src.endswith("Id") and typ == INT):
-            typ = id_type
-        fields.append(T.StructField(dst, typ, True))
-    fields.append(T.StructField("ingestion_date", TS, True))
-    return T.StructType(fields)
+    raw = raw_schema(entity, id_type)
+    fields = [T.StructField(dst, raw[src].dataType, True) for src, dst in BRONZE_RENAMES[entity]]
+    return T.StructType([*fields, T.StructField("ingestion_date", TS, True)])
+
+
+def bronze_keys(entity: str) -> tuple[list[str], list[str]]:
+    """Bronze names of the entity's own key columns and of its foreign keys."""
+    names = dict(BRONZE_RENAMES[entity])
+    own = [names[k] for k in RAW_KEYS[entity]]
+    foreign = [dst for src, dst in BRONZE_RENAMES[entity]
+               if dst not in own and (src in ID_COLUMNS or src == "statusId")]
+    return own, foreign
 
 
 def _contract(columns, id_type) -> T.StructType:

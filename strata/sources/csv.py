@@ -2,8 +2,10 @@
 
 Spark binds a user schema to CSV columns **by position** and ignores the header
 names, so a reordered export would silently load the wrong values. We therefore
-check the header ourselves: its leading names must equal the schema's, extra
-trailing columns (e.g. a ``source`` column) are allowed and dropped. PERMISSIVE
+check the header: its leading names must equal the schema's, extra trailing columns
+(e.g. a ``source`` column) are allowed and dropped. The first file's header is checked
+before the read; Spark then holds every file's header against it during the one read
+(``enforceSchema=false``), so a folder needs no extra pass. PERMISSIVE
 mode keeps rows whose typed values do not parse (they become null); rows whose
 key is null are counted as rejects instead of disappearing silently.
 """
@@ -11,6 +13,7 @@ key is null are counted as rejects instead of disappearing silently.
 from __future__ import annotations
 
 import csv as _csv
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,13 +54,30 @@ def read_csv_positional(spark: SparkSession, path: str, schema: T.StructType, *,
     ``null_value`` (e.g. ``\\N``) turns that marker into null at parse time; by
     default markers are kept as text (raw layer) and cleaned later.
     """
+    names = schema.fieldNames()
+    options = {"header": header, "mode": "PERMISSIVE", "multiLine": False}
     if header and verify_header:
-        check_header(read_header(spark, path), schema)
-    reader = (spark.read.schema(schema).option("header", header)
-              .option("mode", "PERMISSIVE").option("multiLine", False))
+        found = read_header(spark, path)
+        check_header(found, schema)
+        # the columns beyond the schema are read as text, only to compare headers
+        extra = [T.StructField(h.strip(), T.StringType()) for h in found[len(names):]]
+        schema = T.StructType([*schema.fields, *extra])
+        options["enforceSchema"] = False
     if null_value is not None:
-        reader = reader.option("nullValue", null_value)
-    return reader.csv(path)
+        options["nullValue"] = null_value
+    return spark.read.schema(schema).options(**options).csv(path).select(*names)
+
+
+@contextmanager
+def header_errors():
+    """Turns Spark's complaint about a file's header, raised by the job that reads it,
+    into ``HeaderMismatch``."""
+    try:
+        yield
+    except Exception as error:
+        if "CSV header" in str(error):
+            raise HeaderMismatch(str(error).splitlines()[0]) from error
+        raise
 
 
 def profile_csv(spark: SparkSession, path: str, sampling_ratio: float = 0.01) -> T.StructType:
@@ -80,6 +100,7 @@ def reject_condition(keys: list[str]) -> Column:
 @dataclass(frozen=True)
 class Ingest:
     rows: DataFrame          # every parsed row (bronze keeps them all)
+    accepted: DataFrame      # rows whose keys are all there
     rejects: DataFrame       # rows with a null key (unparsable or missing)
 
     def reject_count(self) -> DataFrame:
@@ -88,4 +109,5 @@ class Ingest:
 
 
 def ingest(df: DataFrame, keys: list[str]) -> Ingest:
-    return Ingest(rows=df, rejects=df.filter(reject_condition(keys)))
+    rejected = reject_condition(keys)
+    return Ingest(rows=df, accepted=df.filter(~rejected), rejects=df.filter(rejected))

@@ -36,8 +36,10 @@ def races_export_frame(tables: StandInTables) -> DataFrame:
         F.lit("testdata").alias("source"))
 
 
-def export_races_csv(tables: StandInTables) -> str:
+def export_races_csv(tables: StandInTables, entity: str | None = None) -> str:
+    """Folder of the export; with ``entity``, ``<fresh folder>/<entity>.csv``."""
     path = scratch_path(tables.spark, "races-csv")
+    path = f"{path}/{entity}.csv" if entity else path
     (races_export_frame(tables).write.mode("overwrite")
      .option("header", True).option("escape", '"').csv(path))
     return path

@@ -10,10 +10,10 @@ bronze table        derived from
 circuits            nation (+ region as country)
 constructors        supplier (+ nation as nationality)
 drivers             customer (+ nation as nationality)
-races               orders that are not pending (``o_orderstatus <> 'P'``),
-                    season = calendar month, round = day of month, circuit
-                    = the customer's nation. Pending orders never "raced",
-                    so their line items keep a null season downstream.
+races               orders, season = calendar month, round = day of month,
+                    circuit = the customer's nation. Pending orders
+                    (``o_orderstatus = 'P'``) get a shifted key (-1 - key), so
+                    their line items find no race and keep a null season.
 results             lineitem + its order: driver = customer, constructor =
                     supplier, finishing position = line number, points =
                     quantity, status = order priority, position ``\\N`` for
@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.ranking import rank_values
+from strata.session import store
 from strata.sources.tables import read_parquet_table
 
 # --- Fixed values: the stand-in's finished rule (text, pattern) ------------------
@@ -71,8 +72,7 @@ class StandInTables:
         self.spark = spark
         self.root = root
         self._tables: dict[str, DataFrame] = {}
-        self._silver: dict[str, DataFrame] = {}
-        self._gold: dict[tuple[str, bool], DataFrame] = {}
+        self._gold: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
         self._bronze: dict[str, DataFrame] = {}
         self._stored_gold: dict[str, DataFrame] = {}
@@ -90,18 +90,12 @@ class StandInTables:
         self._gold.clear()
         self.__dict__.pop("silver", None)
 
-    def _store(self, df: DataFrame, label: str) -> DataFrame:
-        from strata.session import scratch_path
-        path = scratch_path(self.spark, label)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
-
     def bronze(self, name: str) -> DataFrame:
         """A bronze stand-in as the silver layer sees it: derived once from the
         test tables and written as Parquet below the shared checkpoint folder
         (the modelled silver loads read bronze tables, not the raw files)."""
         if name not in self._bronze:
-            self._bronze[name] = self._store(getattr(self, name)(), f"bronze-{name}")
+            self._bronze[name] = store(getattr(self, name)(), f"bronze-{name}")
         return self._bronze[name]
 
     def stored(self, name: str) -> DataFrame:
@@ -109,7 +103,7 @@ class StandInTables:
         below the shared checkpoint folder, then read back (column pruning,
         pushed filters, and lineage cut at the layer boundary)."""
         if name not in self._stored:
-            self._stored[name] = self._store(self.silver[name], f"silver-{name}")
+            self._stored[name] = store(self.silver[name], f"silver-{name}")
         return self._stored[name]
 
     def table(self, name: str) -> DataFrame:
@@ -146,10 +140,12 @@ class StandInTables:
                         F.col("n_name").alias("nationality")))
 
     def races(self) -> DataFrame:
-        o = self.table("orders").filter(F.col("o_orderstatus") != PENDING_ORDER_STATUS)
+        o = self.table("orders")
+        pending = F.col("o_orderstatus") == PENDING_ORDER_STATUS
         c = self.table("customer").select("c_custkey", "c_nationkey")
         return (o.join(c, o.o_custkey == c.c_custkey, "left")
-                .select(F.col("o_orderkey").alias("race_id"),
+                .select(F.when(pending, -1 - F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+                        .alias("race_id"),
                         season_of("o_orderdate").alias("race_year"),
                         round_of("o_orderdate").alias("round"),
                         F.col("c_nationkey").alias("circuit_id"),
@@ -157,7 +153,7 @@ class StandInTables:
                         .alias("name"),
                         F.to_date("o_orderdate").alias("date_race")))
 
-    def results(self) -> DataFrame:
+    def results(self, points: str = "l_quantity") -> DataFrame:
         li = self.table("lineitem")
         o = self.table("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
         returned = F.col("l_returnflag") == RETURNED_FLAG
@@ -172,7 +168,7 @@ class StandInTables:
                         F.when(returned, F.lit(RETURNED_FLAG)).otherwise(position)
                         .alias("position_text"),
                         F.col("l_linenumber").alias("position_order"),
-                        F.col("l_quantity").alias("points"), _null("int").alias("laps"),
+                        F.col(points).alias("points"), _null("int").alias("laps"),
                         _null("string").alias("time"),
                         F.when(returned, F.lit("\\N"))
                         .otherwise((F.col("l_quantity") * 60000).cast("bigint").cast("string"))
@@ -226,16 +222,26 @@ class StandInTables:
     def stored_gold(self, name: str) -> DataFrame:
         """A gold table that other gold loads read, written once (default form)."""
         if name not in self._stored_gold:
-            self._stored_gold[name] = self._store(self.gold(name), f"gold-{name}")
+            self._stored_gold[name] = store(self.gold(name), f"gold-{name}")
         return self._stored_gold[name]
 
-    def gold(self, name: str, *, windowed: bool = False) -> DataFrame:
-        key = (name, windowed)
-        if key not in self._gold:
-            self._gold[key] = self._build_gold(name, windowed)
-        return self._gold[key]
+    def gold(self, name: str) -> DataFrame:
+        if name not in self._gold:
+            self._gold[name] = self._build_gold(name)
+        return self._gold[name]
 
-    def _build_gold(self, name: str, windowed: bool) -> DataFrame:
+    def nation_standings(self) -> DataFrame:
+        """Season standings of the constructors' nations (few, so that some lead for
+        several months running)."""
+        from strata.plans import gold
+        s = self.table("supplier").select(F.col("s_suppkey").alias("constructor_id"), "s_nationkey")
+        fact = (self.stored("fact_results").join(s, "constructor_id").drop("constructor_id")
+                .withColumnRenamed("s_nationkey", "constructor_id"))
+        nations = self.table("nation").select(F.col("n_nationkey").alias("constructor_id"),
+                                              F.col("n_name").alias("constructor_name"))
+        return gold.constructor_standings(fact, nations)
+
+    def _build_gold(self, name: str) -> DataFrame:
         from strata.plans import gold
         s = _Lazy(self.stored)
         if name == "constructor_career":
@@ -243,17 +249,14 @@ class StandInTables:
         if name == "driver_career":
             return gold.driver_career(s["fact_results"], s["dim_drivers"])
         if name == "constructor_standings":
-            return gold.constructor_standings(s["fact_results"], s["dim_constructors"],
-                                              windowed=windowed)
+            return gold.constructor_standings(s["fact_results"], s["dim_constructors"])
         if name == "constructor_dominance":
-            return gold.constructor_dominance(self.stored_gold("constructor_standings"))
+            return gold.constructor_dominance(self.nation_standings())
         if name == "season_champions":
-            return gold.season_champions(s["fact_driver_standings"], s["dim_drivers"],
-                                         windowed=windowed)
+            return gold.season_champions(s["fact_driver_standings"], s["dim_drivers"])
         if name == "drivers_without_title":
             return gold.drivers_without_title(
-                self.stored_gold("driver_career"), self.stored_gold("season_champions"),
-                windowed=windowed)
+                self.stored_gold("driver_career"), self.stored_gold("season_champions"))
         raise KeyError(name)
 
 

@@ -6,10 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_harness import compare, duck
+from strata.plans.oracle import ORACLE
+from strata.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables absent")
 
@@ -19,9 +19,9 @@ def con():
     return duck(SF_DIR)
 
 
-def test_every_query_has_an_oracle_but_the_unordered_preview():
-    assert set(QUERIES) - set(ORACLE) == {"limit_preview"}
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -4,7 +4,10 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from strata.operators.enrich import broadcast_if_small
+from strata.operators.ranking import global_rank
 from strata.plans.queries import QUERIES
 from strata.sources.standins import StandInTables
 
@@ -21,7 +24,9 @@ def test_scan_reads_only_needed_columns_and_pushes_filters(spark):
     plan = plan_of(tables.results().select("driver_id", "points"))
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
     plan = plan_of(tables.races().select("race_id"))
-    assert "PushedFilters: [IsNotNull(o_orderstatus), Not(EqualTo(o_orderstatus,P))" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan
+    pending = tables.table("orders").filter("o_orderstatus = 'P'").select("o_orderkey")
+    assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,P)]" in plan_of(pending)
 
 
 def test_silver_fact_reads_only_needed_bronze_columns(spark):
@@ -38,25 +43,37 @@ def test_season_filter_reaches_the_scan(spark):
     assert "PushedFilters: [IsNotNull(race_year), EqualTo(race_year,24000)]" in plan
 
 
-@pytest.mark.parametrize("name", ["never_champion_ranked", "season_champions",
-                                  "season_standings_dense_rank"])
-def test_no_detail_rows_in_one_partition(spark, name):
-    df = QUERIES[name](spark, SF_DIR)
-    df.collect()                                     # final adaptive plan
-    plan = plan_of(df)
-    # the plain forms would put every ranked row behind 'Exchange SinglePartition';
-    # ours either has no such exchange or only above the distinct-value table
-    # (an aggregate, or its checkpoint)
-    for line in plan.splitlines():
-        if "SinglePartition" in line:
-            below = plan[plan.index(line): plan.index(line) + 600]
-            assert "HashAggregate" in below or "ExistingRDD" in below, plan
-
-
-def test_reference_forms_do_use_single_partition(spark):
-    df = StandInTables.of(spark, SF_DIR).gold("drivers_without_title", windowed=True)
-    df.collect()
-    assert "SinglePartition" in plan_of(df)
+@pytest.mark.parametrize("name", ["season_champions", "season_standings_dense_rank"])
+def test_no_rows_meet_in_one_partition(spark, name):
+    assert "SinglePartition" not in plan_of(QUERIES[name](spark, SF_DIR))
+
+
+def test_table_wide_rank_meets_in_slices(spark):
+    """Without keys the rows of a slice meet, and nothing larger."""
+    df = spark.range(0, 3000).selectExpr("id", "id % 700 AS v")
+    plan = plan_of(global_rank(df, "v", "r", slice_rows=500))
+    assert "SinglePartition" not in plan and "__rank_slice" in plan
+
+
+def test_standings_scan_the_facts_once(spark):
+    """The ranking reads its stored input, not the facts again."""
+    plan = plan_of(QUERIES["season_standings_dense_rank"](spark, SF_DIR))
+    assert "silver-fact_results" not in plan
+
+
+def test_checked_broadcast(spark):
+    df = spark.range(0, 1000).selectExpr("id", "cast(id AS string) AS t")
+    side = spark.range(0, 50).selectExpr("id", "cast(id AS string) AS t2").groupBy("id").agg(
+        F.max("t2").alias("t2"))
+    plan = plan_of(df.join(broadcast_if_small(side), "id"))
+    assert "BroadcastHashJoin" in plan and "SinglePartition" not in plan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert "BroadcastHashJoin" not in plan_of(df.join(broadcast_if_small(side), "id"))
+        assert "BroadcastHashJoin" not in plan_of(df.join(broadcast_if_small(side, max_bytes=100), "id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_topk_is_take_ordered(spark):

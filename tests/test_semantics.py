@@ -119,9 +119,8 @@ def test_last_round_leaders(spark):
          (2002, 1, 1, "a"), (2002, 1, 1, "b"),
          (2003, 1, 1, "a"), (2003, 2, 2, "b"),
          (None, 1, 1, "z")], "y int, r int, pos int, d string")
-    for windowed in (False, True):
-        out = last_round_leaders(df, "y", "r", "pos", windowed=windowed)
-        assert rows(out, "y", "d") == [(2001, "b"), (2002, "a"), (2002, "b"), (None, "z")]
+    out = last_round_leaders(df, "y", "r", "pos")
+    assert rows(out, "y", "d") == [(2001, "b"), (2002, "a"), (2002, "b"), (None, "z")]
 
 
 # N18: no wins or null wins -> not ranked
@@ -248,3 +247,39 @@ def test_broadcast_if_small(spark):
         assert hinted.count() == 5 and kept.count() == 2000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+# S1 / N1: every file of a folder is held against the header
+def test_header_of_every_file(spark, tmp_path):
+    from strata.sources.csv import header_errors
+    folder = tmp_path / "status.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("statusId,status,source\n1,Finished,x\n")
+    (folder / "b.csv").write_text("statusId,status,source\n2,Lapped,x\n")
+    schema = schemas.raw_schema("status")
+    assert rows(read_csv_positional(spark, str(folder), schema)) == [(1, "Finished"), (2, "Lapped")]
+    (folder / "c.csv").write_text("statusId,source,status\n3,x,Lapped\n")
+    with pytest.raises(HeaderMismatch), header_errors():
+        read_csv_positional(spark, str(folder), schema).collect()
+
+
+# S3: 64-bit keys from the raw reader on
+def test_wide_keys(spark, tmp_path):
+    path = tmp_path / "races.csv"
+    path.write_text("raceId,year,round,circuitId,name,date,time,url\n"
+                    "3000000000,2001,1,4000000000,A,2001-01-01,,u\n")
+    wide = read_csv_positional(spark, str(path), schemas.raw_schema("races", T.LongType()))
+    assert rows(wide, "raceId", "circuitId") == [(3000000000, 4000000000)]
+    for entity in schemas.RAW_COLUMNS:
+        own, foreign = schemas.bronze_keys(entity)
+        bronze = schemas.bronze_schema(entity, T.LongType())
+        for key in own + foreign:
+            expected = T.IntegerType() if key in ("statusId", "status_id") else T.LongType()
+            assert bronze[key].dataType == expected
+
+
+# one session for every launch
+def test_shared_folder_is_required_off_local():
+    from strata.session import is_local
+    assert is_local("local") and is_local("local[8]")
+    assert not is_local("local-cluster[2,1,1024]") and not is_local("yarn") and not is_local("spark://h:7077")
