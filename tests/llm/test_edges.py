@@ -1,0 +1,232 @@
+"""Every operator and pipeline stage on nulls, empty and long texts, ties, repeated rows,
+empty tables and columns with clashing names."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from strata.llm import (bpe, decontamination, langid, lines, pagetext, quality, secrets, simhash,
+                        substrings, topk)
+from strata.llm.queries import word_bpe_path
+
+LONG = " ".join(f"w{i}" for i in range(30_000))
+TEXTS = [(1, "a b c d e f g h i j k l m n o"), (2, None), (3, ""), (4, " \n\t "), (5, LONG),
+         (6, "a b c d e f g h i j k l m n o"), (6, "a b c d e f g h i j k l m n o"), (None, "x y"),
+         (7, "Ein kurzer Satz.\nEin kurzer Satz."), (8, "漢字かな交じり文" * 30), (9, "!!! ??? 123")]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+# names that the operators use inside
+CLASH = ["_shard", "_found", "_spans", "_part", "_contamination", "_lines", "_doc", "_removed",
+         "_pieces", "_key", "_rank", "_score", "shingles", "bands", "coded", "id", "a", "k1"]
+
+
+def table(spark, rows=TEXTS, clash=False):
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
+    return df.withColumns({c: F.lit("kept") for c in CLASH}) if clash else df
+
+
+def bench(spark, rows=((1, "a b c d e f g h i j k l m"), (2, None), (3, ""), (4, "short item"),
+                       (4, "short item"), (None, "n n"))):
+    return spark.createDataFrame(list(rows), "item_id long, text string")
+
+
+def kept(df, names=CLASH):
+    return all(r[c] == "kept" for r in df.select(*[f"`{c}`" for c in names]).collect() for c in names)
+
+
+def one(df, doc, column="*"):
+    return df.where(F.col("doc_id") == doc).select(column).first()
+
+
+@pytest.mark.parametrize("clash", [False, True])
+@pytest.mark.parametrize("empty", [False, True])
+def test_decontamination(spark, clash, empty):
+    docs, b = table(spark, [] if empty else TEXTS, clash), bench(spark)
+    out, name = decontamination.contamination(docs, b)
+    assert out.count() == docs.count()
+    none, _ = decontamination.contamination(docs, bench(spark, []))
+    assert none.where(F.col(f"`{_}`.n_hit") > 0).count() == 0
+    clean = decontamination.decontaminate(docs, b)
+    assert clean.columns == docs.columns
+    if not empty:
+        r = one(out, 1, f"{name}.*")
+        assert (r.n_words, r.n_hit, r["items"], r.contaminated) == (15, 13, ["1"], True)
+        r = one(out, 2, f"{name}.*")
+        assert (r.n_words, r.n_hit, r.contaminated) == (0, 0, False)
+        assert one(out, 5, f"{name}.*").n_words == 30_000
+        assert clean.where("doc_id IN (1, 6)").count() == 0 and clean.count() == docs.count() - 3
+        assert not clash or kept(clean)
+
+
+def test_decontamination_blocks_give_the_same(spark):
+    docs = table(spark)
+    whole, a = decontamination.contamination(docs, bench(spark))
+    parts, b = decontamination.contamination(docs, bench(spark), block_bytes=70)
+    pick = lambda df, n: sorted(df.select("doc_id", F.col(f"{n}.n_hit"), F.col(f"{n}.items")).collect(), key=str)
+    assert pick(whole, a) == pick(parts, b)
+    longest = decontamination.longest_matches(docs, bench(spark)).collect()
+    assert [(r.item, r.offset, r.words, r.doc, r.doc_offset) for r in longest] == [("1", 0, 13, "1", 0)]
+    assert decontamination.longest_matches(table(spark, []), bench(spark)).count() == 0
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_bpe(spark, clash):
+    path, docs = word_bpe_path(), table(spark, clash=clash)
+    out = bpe.decode(bpe.encode(docs, path, to="my_ids"), path, ids_col="my_ids", to="said")
+    assert one(out, 2, "my_ids")[0] == [] and one(out, 2, "said")[0] == ""
+    assert one(out, 6, "said")[0].startswith("a</w> b</w> c</w>")
+    assert not clash or kept(out)
+    assert bpe.encode(table(spark, []), path).count() == 0
+    both = bpe.round_trip(docs, path, to="both").select("doc_id", "both.*").collect()
+    plain = {str(r.doc_id): r for r in out.collect()}
+    for r in both:
+        assert len(r.ids) == 4 * len(plain[str(r.doc_id)].my_ids) and r.decoded == plain[str(r.doc_id)].said
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_lines(spark, clash):
+    docs = table(spark, clash=clash)
+    out, name = lines.dedup_lines(docs)
+    assert out.count() == docs.count()
+    assert one(out, 7, f"{name}.*").kept == "Ein kurzer Satz." and one(out, 7, f"{name}.*").removed == [1]
+    assert one(out, 2, f"{name}.*").kept is None and one(out, 3, f"{name}.*").kept == ""
+    assert one(out, 1, f"{name}.*").n_removed == 0
+    # the two rows of document 6 are one document, and its line is the first document's
+    assert [r.kept for r in out.where("doc_id = 6").select(f"{name}.*").collect()] == ["", ""]
+    assert not clash or kept(out)
+    none, _ = lines.dedup_lines(table(spark, [], clash))
+    assert none.count() == 0
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_substrings(spark, clash):
+    docs = table(spark, clash=clash)
+    out, name = substrings.remove_repeats(docs)
+    assert out.count() == docs.count()
+    assert one(out, 6, f"{name}.*").asDict(True) == {
+        "n_words": 15, "n_removed": 15, "removed": [{"s": 0, "e": 15}], "kept": ""}
+    assert one(out, 1, f"{name}.*").n_removed == 0 and one(out, 2, f"{name}.*").kept == ""
+    assert not clash or kept(out)
+    none, _ = substrings.remove_repeats(table(spark, []))
+    assert none.count() == 0
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_secrets(spark, clash):
+    docs = table(spark, [*TEXTS, (20, 'é token = "abcdef012345" ' + LONG)], clash)
+    out, name = secrets.find_secrets(docs)
+    assert [tuple(s) for s in one(out, 20, name)[0]] == [("assign", 2, 23)]
+    assert one(out, 2, name)[0] == [] and one(out, 5, name)[0] == []
+    assert one(secrets.redact(docs), 20, "text")[0].startswith('é [assign]" w0')
+    assert not clash or kept(out)
+    assert secrets.find_secrets(table(spark, []))[0].count() == 0
+
+
+def test_top_k(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 2.0]), (20, [0.0, 0.0]), (1, [3.0, 1.0]), (2, [3.0, 1.0]), (3, None), (4, [1.0, None]),
+            (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [5.0]), (None, [9.0, 9.0]), (1, [1.0, 1.0]), (8, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("rank", F.lit(1))
+    out = topk.top_k(df, df.where("vec_id % 20 = 0"), k=3).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in out] == [
+        (0, 1, 1, 5.0), (0, 2, 2, 5.0), (0, 3, 7, 5.0), (20, 1, 0, 0.0), (20, 2, 1, 0.0), (20, 3, 1, 0.0)]
+    assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
+    alone = df.where("vec_id = 0")
+    assert topk.top_k(alone, alone).count() == 0
+
+
+def test_language(spark):
+    rows = [(i, f"the house of the rising sun and the thing number {i}", "en") for i in range(30)] + [
+        (100 + i, f"das haus und der fluss sind nicht schön genug {i}", "de") for i in range(30)] + [
+        (200, None, "en"), (201, "", None), (202, "123 !!", "de"), (203, "the rising sun", None), (200, None, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("x"))
+    model = langid.train(df, F.lit(True))
+    said = {r.doc_id: r.said for r in df.select("doc_id", langid.identify(df, model).alias("said")).collect()}
+    assert said[3].lang == "en" and said[105].lang == "de" and said[203].lang == "en"
+    assert [tuple(said[i]) for i in (200, 201, 202)] == [("und", 0.0)] * 3
+    none = langid.train(df.limit(0), F.lit(True))
+    assert df.select(langid.identify(df, none).alias("s")).where("s.lang <> 'und'").count() == 0
+    assert df.limit(0).select(langid.identify(df, model)).count() == 0
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_simhash(spark, clash):
+    docs = table(spark, clash=clash)
+    found = {str(r.id): r for r in simhash.near_duplicates(docs).collect()}
+    assert found["2"].f == found["3"].f == found["4"].f == 0
+    assert {found[i].component for i in "234"} == {2} and found["6"].component == 1
+    left = simhash.keep_one(docs)
+    assert left.columns == docs.columns and (not clash or kept(left))
+    assert sorted(str(r.doc_id) for r in left.collect()) == sorted(["1", "2", "5", "7", "8", "9", "None"])
+    assert simhash.keep_one(table(spark, [])).count() == 0
+
+
+def test_simhash_masks_cover_the_radius():
+    import itertools
+    masks = simhash.covering_masks(2, 12)
+    assert len(masks) == 7
+    assert all(any(not m & (1 << i | 1 << j) for m in masks) for i, j in itertools.combinations(range(12), 2))
+
+
+def test_simhash_large_buckets_are_split(spark):
+    import random
+    rng = random.Random(5)
+    centre = rng.getrandbits(63)
+    prints = sorted({centre ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)) for _ in range(300)})
+    df = spark.createDataFrame([(p,) for p in prints], "f long")
+    from strata.llm.components import components
+    for block in (16, 4096):
+        got = components(simhash.links(df, block=block))
+        assert got.count() == len(prints) and got.select("component").distinct().count() == 1
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_quality(spark, clash):
+    docs = table(spark, TEXTS + [(100 + i, ("good words here. " if i % 2 else "BAD!! ") * 20) for i in range(80)], clash)
+    labels = spark.createDataFrame(
+        [(100 + i, i % 2, 0) for i in range(80)] + [(2, None, 0), (None, 1, 0), (999, 1, 0)],
+        "doc_id long, quality int, toxic int")
+    model = quality.train(docs, labels, F.lit(True))
+    scores = {r.doc_id: r.s for r in docs.select("doc_id", quality.score(docs, model).alias("s")).collect()}
+    assert scores[101] > 0.9 and scores[100] < 0.1 and 0 <= scores[2] <= 1 and scores[2] == scores[3]
+    for none in (labels.limit(0), labels.where("quality = 1")):
+        flat = quality.train(docs, none, F.lit(True))
+        assert docs.select(quality.score(docs, flat).alias("s")).where("s BETWEEN 0 AND 1").count() == docs.count()
+
+
+def test_pages(spark):
+    page = "<nav><a href=x>Home</a></nav><article><h1>T &amp; U</h1><p>One\n two<br>three.<p>Four.</article><footer>&copy; x</footer>"
+    rows = [(1, "u", page), (2, "u", None), (3, "u", ""), (4, None, "<p"), (1, "u", page),
+            (5, "u", "<article>" + "<p>long words here</p>" * 20_000 + "</article>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("x"))
+    model = pagetext.train(df)
+    said = df.select("page_id", pagetext.extract(df, model).alias("said")).collect()
+    got = {r.page_id: r.said for r in said}
+    assert len(said) == 6 and got[1] == "T & U\nOne two three.\nFour."
+    assert got[2] == got[3] == "" and got[5].count("\n") == 19_999
+    assert pagetext.train(df.limit(0)).extract(page).startswith("T & U")
+
+
+def test_components(spark):
+    from strata.llm.components import components
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
+    got = {r.node: r.component for r in components(chain).collect()}
+    assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+    assert components(chain.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("clash", [False, True])
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_stages(spark, tmp_path, clash, empty):
+    rows = [] if empty else TEXTS + [(100 + i, f"good words here {i} and more of them. " * 9) for i in range(20)]
+    bench(spark).write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(100 + i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    table(spark, rows, clash).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        out = spark.read.parquet(f"{tmp_path}/{name}")
+        if i + 1 < len(corpus_pipeline.STAGES):
+            assert out.columns == docs.columns
+        docs = out
+    assert (docs.count() == 0) == empty
