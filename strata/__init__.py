@@ -9,7 +9,7 @@ whole chain. Sub-packages:
 - ``operators`` joins, roll-ups, rankings, streaks, last-round snapshots
 - ``sinks``     schema contracts, idempotent (partitioned) overwrites, layer DDL
 - ``plans``     table contracts, the 20-table pipeline, dashboard views
-- ``streaming`` intentionally empty: the modelled workload is batch full refresh
+- ``llm``       training-data operators (nothing else imports it)
 """
 
 __version__ = "0.1.0"

@@ -25,16 +25,17 @@ from strata.session import store
 BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, *,
+                       is_stored: bool = False) -> DataFrame:
     """Broadcast ``df`` only after measuring that it holds at most ``max_bytes``.
 
-    The frame is stored once; one aggregate (a partial sum per task) counts its rows
+    The frame is stored once (``is_stored``: it only reads a stored table); one aggregate (a partial sum per task) counts its rows
     and the bytes of its texts, so the bound is on measured data, not on an estimate.
     Above the bound, or when the session has switched broadcasts off
     (``spark.sql.autoBroadcastJoinThreshold`` < 0), the stored frame is returned as it is
     and the join stays a shuffle join. For sides of few, flat columns.
     """
-    df = store(df, "side")
+    df = df if is_stored else store(df, "side")
     fixed, texts = 0, F.lit(0)
     for field in df.schema.fields:
         fixed += 16
