@@ -24,7 +24,7 @@ def test_scan_reads_only_needed_columns_and_pushes_filters(spark):
     plan = plan_of(tables.results().select("driver_id", "points"))
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
     plan = plan_of(tables.races().select("race_id"))
-    assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string>" in plan
     pending = tables.table("orders").filter("o_orderstatus = 'P'").select("o_orderkey")
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,P)]" in plan_of(pending)
 
