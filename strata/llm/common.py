@@ -62,7 +62,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 # Values (of up to 8 bytes) up to which a stored table may be broadcast.
-BROADCAST_VALUES = 2_000_000
+BROADCAST_VALUES = 3_000_000
 
 
 def small(table: DataFrame, values: Column | None = None) -> DataFrame:
