@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import bpe, decontamination, langid, lines, pagetext, quality, secrets, simhash, substrings, topk
-from strata.llm.common import arrow_column, read_tables
+from strata.llm.common import read_tables
 
 QUALITY_FROM = 0.3
 
@@ -32,12 +32,10 @@ def word_bpe_path() -> str:
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, = read_tables(spark, sf_dir, "documents")
-    path = word_bpe_path()
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path), path)
+    coded = bpe.round_trip(docs.select("doc_id", "text"), word_bpe_path())
     return coded.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(arrow_column(bpe.packed, "binary")("ids"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+        "doc_id", F.expr("octet_length(coded.ids) div 4").alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"), F.sha2("coded.decoded", 256).alias("decoded_sha256"))
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
