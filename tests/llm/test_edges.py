@@ -1,6 +1,8 @@
 """Every operator and pipeline stage on nulls, empty and long texts, ties, repeated rows,
 empty tables and columns with clashing names."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,6 +99,36 @@ def test_lines(spark, clash):
     assert none.count() == 0
 
 
+def test_templated_lines_against_all_pairs(spark):
+    """Lines of one template share bands with all others; each has one near copy."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    texts = []
+    for _ in range(3):
+        fixed = [word() for _ in range(24)]
+        for _ in range(150):
+            own = fixed[:4] + [word() for _ in range(3)] + fixed[4:20] + [word() for _ in range(3)] + fixed[20:]
+            texts += [" ".join(own), " ".join(own[:5] + [word()] + own[6:])]
+    rng.shuffle(texts)
+    docs = table(spark, list(enumerate(texts)))
+    sets = [set(r.s) for r in lines.with_shingles(docs, "text", "s").orderBy("doc_id").select("s").collect()]
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for b in range(len(sets)):
+        for a in range(b):
+            n = len(sets[a] & sets[b])
+            if n >= 0.8 * (len(sets[a]) + len(sets[b]) - n) and find(a) != find(b):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    out, name = lines.dedup_lines(docs)
+    cut = {r.doc_id for r in out.where(f"`{name}`.n_removed > 0").select("doc_id").collect()}
+    assert cut == {i for i in range(len(sets)) if find(i) != i} and len(cut) >= 400
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_substrings(spark, clash):
     docs = table(spark, clash=clash)
