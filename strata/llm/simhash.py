@@ -134,6 +134,17 @@ def links(prints: DataFrame, *, radius: int = RADIUS, block: int = BLOCK) -> Dat
         lambda batches: _bucket_links(batches, radius), "a long, b long").distinct()
 
 
+def _rooted(marked: DataFrame, *, radius: int, block: int) -> DataFrame:
+    """f, root (the same for all fingerprints of a component) and component (its smallest
+    id) for rows with id and f."""
+    nodes = marked.groupBy("f").agg(F.min("id").alias("least"))
+    group = components(links(nodes.select("f"), radius=radius, block=block))
+    root = nodes.join(group, nodes.f == group.node, "left").select(
+        "f", "least", F.coalesce("component", "f").alias("root"))
+    named = root.groupBy("root").agg(F.min("least").alias("component"))
+    return root.join(named, "root").select("f", "root", "component")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """One row per document: id, f (signed fingerprint), component (smallest id that
@@ -141,23 +152,27 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     prepare(docs.sparkSession)
     marked = docs.select(docs[id_col].alias("id"),
                          fingerprint_column(docs[text_col], shingle).alias("f")).checkpoint()
-    nodes = marked.groupBy("f").agg(F.min("id").alias("least"))
-    group = components(links(nodes.select("f"), radius=radius, block=block))
-    root = nodes.join(group, nodes.f == group.node, "left").select(
-        "f", "least", F.coalesce("component", "f").alias("root"))
-    named = root.groupBy("root").agg(F.min("least").alias("component"))
-    return marked.join(root.join(named, "root").select("f", "component"), "f").select(
-        "id", "f", "component")
-
-
-def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component: the one with its id; columns
-    unchanged. Of rows that repeat this id, the one whose text hashes least stays."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    key, rank = free_name("_key", docs), free_name("_rank", docs)
-    as_key = lambda c: F.coalesce(c.cast("string"), F.lit("")).alias(key)
-    chosen = found.select(as_key(F.col("component"))).distinct()
-    kept = docs.withColumn(key, as_key(docs[id_col])).join(chosen.hint("shuffle_hash"), key, "left_semi")
-    # ids are meant to be unique, so these groups hold one row
-    order = Window.partitionBy(key).orderBy(F.xxhash64(f"`{text_col}`"))
-    return kept.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(key, rank)
+    return marked.join(_rooted(marked, radius=radius, block=block), "f").select("id", "f", "component")
+
+
+def _row_key(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    """Two hashes that tell rows of different id or text apart; nulls count as values."""
+    parts = [p for c in (docs[id_col], docs[text_col]) for p in (c.isNull(), c)]
+    return [F.xxhash64(*parts), F.xxhash64(F.lit(SEED), *parts)]
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id (null ids
+    last), of those the one whose id and text hash least; columns unchanged. Rows that
+    are alike in id and text are one document."""
+    prepare(docs.sparkSession)
+    k1, k2 = free_name("_key", docs), free_name("_key2", docs)
+    key = _row_key(docs, id_col, text_col)
+    marked = docs.select(docs[id_col].alias("id"), key[0].alias("k1"), key[1].alias("k2"),
+                         fingerprint_column(docs[text_col], shingle).alias("f")).checkpoint()
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "k1", "k2"))
+    chosen = marked.join(_rooted(marked, radius=radius, block=block).select("f", "root"), "f") \
+        .groupBy("root").agg(first.alias("first")).select(F.col("first.k1").alias(k1), F.col("first.k2").alias(k2))
+    kept = docs.withColumns({k1: key[0], k2: key[1]}).join(chosen.hint("shuffle_hash"), [k1, k2], "left_semi")
+    return kept.dropDuplicates([k1, k2]).drop(k1, k2)

@@ -192,6 +192,15 @@ def test_simhash(spark, clash):
     assert simhash.keep_one(table(spark, [])).count() == 0
 
 
+def test_keep_one_keeps_a_row_of_each_component(spark):
+    """Different texts stay if they have no id, or the same one."""
+    text = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    docs = table(spark, [(None, text("a")), (None, text("b")), (None, text("b")), (1, text("c")), (1, text("d")),
+                         (2, text("d")), (3, text("e")), (None, text("e")), (3, text("e"))])
+    left = [(r.doc_id, r.text[0]) for r in simhash.keep_one(docs).collect()]
+    assert sorted(left, key=str) == sorted([(None, "a"), (None, "b"), (1, "c"), (1, "d"), (3, "e")], key=str)
+
+
 def test_simhash_masks_cover_the_radius():
     import itertools
     masks = simhash.covering_masks(2, 12)
