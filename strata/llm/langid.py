@@ -10,8 +10,8 @@ counts.
 Training counts n-grams per language in Spark over a bounded sample of labelled
 documents (``SAMPLE_DOCS`` a language, chosen by a hash of the id) and keeps the
 ``CAPACITY`` most frequent; an n-gram belongs to the languages in which its relative
-frequency is at least ``LEAST_RATIO`` of its highest. At most ``MAX_LANGUAGES`` languages,
-the most frequent ones, are learned.
+frequency is at least ``LEAST_RATIO`` of its highest. All labelled languages are learned:
+a slot has as many 64-bit words as their bits need.
 
 Defined results: null texts and texts without letters are ``und`` with score 0; a
 text whose n-grams are all unknown gets the most frequent language with score 0; ties
@@ -38,7 +38,6 @@ SLOTS = 1 << 22
 HASHES = 2
 LEAST_COUNT = 3
 LEAST_RATIO = 0.2
-MAX_LANGUAGES = 64
 UNKNOWN = "und"
 _CHARS_AT_ONCE = 1 << 20
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -115,12 +114,15 @@ class Filter:
     @classmethod
     def of(cls, languages: list[str], common: int, values: np.ndarray, masks: np.ndarray,
            slots: int = SLOTS) -> Filter:
-        width = next(w for w in (8, 16, 32, 64) if len(languages) <= w)
-        table = np.zeros(slots, f"uint{width}")
+        width = next((w for w in (8, 16, 32) if len(languages) <= w), 64)
+        masks = masks if masks.ndim == 2 else masks[:, None]
+        table = np.zeros((slots, masks.shape[1]), f"uint{width}")
         for at in _slots(values, slots):
-            np.bitwise_or.at(table, at, masks.astype(table.dtype))
+            for word in range(table.shape[1]):
+                np.bitwise_or.at(table[:, word], at, masks[:, word].astype(table.dtype))
         one = table.dtype.type(1)
-        filled = np.array([((table >> table.dtype.type(i)) & one).mean() for i in range(len(languages))])
+        filled = np.array([((table[:, i // 64] >> table.dtype.type(i % 64)) & one).mean()
+                           for i in range(len(languages))])
         return cls(languages, common, table, filled ** HASHES)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -142,7 +144,7 @@ class Filter:
             mask &= self.table[at]
         total = np.bincount(owner, minlength=n).astype(float)
         counts = []
-        planes = mask.view(np.uint8).reshape(len(mask), mask.dtype.itemsize)
+        planes = mask.view(np.uint8).reshape(len(mask), mask.shape[1] * mask.dtype.itemsize)
         bits = (np.arange(256)[:, None] >> np.arange(8)) & 1
         for plane in range(-(-len(self.languages) // 8)):
             seen = np.bincount(owner * 256 + planes[:, plane], minlength=n * 256).reshape(n, 256)
@@ -165,16 +167,14 @@ def train(docs: DataFrame, may_learn: Column, *, id_col: str = "doc_id", text_co
     rows = docs.where(may_learn & docs[lang_col].isNotNull()).select(
         docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"),
         docs[lang_col].cast("string").alias("lang"))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
-        return Filter.of([], 0, np.zeros(0, np.uint64), np.zeros(0, np.uint64), 2)
+        return Filter.of([], 0, np.zeros(0, np.uint64), np.zeros((0, 1), np.uint64), 2)
     number = {name: i for i, name in enumerate(languages)}
     turn = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
-    wanted = F.lit(False)
-    for r in sizes:
-        share = min(1 << 20, -(-(sample_docs << 20) // r["count"]))
-        wanted = wanted | ((F.col("lang") == r["lang"]) & (turn < share))
+    share = {r["lang"]: min(1 << 20, -(-(sample_docs << 20) // r["count"])) for r in sizes}
+    wanted = turn < F.element_at(F.create_map(*[F.lit(x) for p in share.items() for x in p]), F.col("lang"))
 
     def count(batches):
         for batch in batches:
@@ -199,7 +199,10 @@ def train(docs: DataFrame, may_learn: Column, *, id_col: str = "doc_id", text_co
         "gram", best.alias("top"), F.transform(
             F.filter("ps", lambda x: x["p"] >= best * LEAST_RATIO), lambda x: x["lang"]).alias("langs")
     ).orderBy(F.desc("top"), "gram").limit(capacity).select("gram", "langs").toPandas()
-    masks = np.array([sum(1 << int(i) for i in x) for x in kept["langs"]], np.uint64)
+    masks = np.zeros((len(kept), -(-len(languages) // 64)), np.uint64)
+    for row, langs in enumerate(kept["langs"]):
+        for i in langs:
+            masks[row, i // 64] |= np.uint64(1 << i % 64)
     return Filter.of(languages, number[sizes[0]["lang"]], kept["gram"].to_numpy(np.int64).view(np.uint64), masks)
 
 

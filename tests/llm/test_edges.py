@@ -180,6 +180,19 @@ def test_language(spark):
     assert df.limit(0).select(langid.identify(df, model)).count() == 0
 
 
+def test_more_languages_than_bits_in_a_word(spark):
+    rng = random.Random(5)
+    words = {f"l{n:02}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(8)]
+             for n in range(70)}
+    rows = [(100 * n + i, " ".join(rng.sample(own, 8)), lang)
+            for n, (lang, own) in enumerate(words.items()) for i in range(4 if n % 2 else 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df, F.lit(True))
+    assert model.languages == sorted(words)
+    said = df.select("lang", langid.identify(df, model).alias("said")).collect()
+    assert all(r.said.lang == r.lang for r in said)
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_simhash(spark, clash):
     docs = table(spark, clash=clash)
