@@ -12,6 +12,10 @@ exactly where the data ends:
   length-prefixed openssh-key-v1 container;
 - ``encoded``: base64 or hexadecimal runs that decode to text with a secret in it.
 
+A base64 candidate has at least the 16 characters that the shortest secret (12 bytes,
+``token=abcdef``) takes. It is a run in one line, or consecutive lines of one length and a
+last one that may be shorter; runs inside such a block are not reported again.
+
 Spans are code points, end exclusive, ordered by start and then kind (as listed
 here). Spans of different kinds may overlap.
 
@@ -36,7 +40,7 @@ KINDS = ["assign", "access", "hex", "jwt", "key", "encoded"]
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 _TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
-LEAST_VALUE, LEAST_ACCESS, LEAST_HEX, LEAST_BASE64 = 6, 20, 24, 40
+LEAST_VALUE, LEAST_ACCESS, LEAST_HEX, LEAST_BASE64 = 6, 20, 24, 16
 
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -47,6 +51,8 @@ _HEX_ANY = re.compile(r"[0-9A-Fa-f]+")
 _SIGNED = re.compile(r"[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.DOTALL)
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % LEAST_BASE64)
+_BREAK = re.compile(r"[ \t]*(?:\r?\n|\\r\\n|\\n)[ \t]*")
+_WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{%d,}(?:%s[A-Za-z0-9+/_-]+={0,2})+" % (LEAST_BASE64, _BREAK.pattern))
 
 # A cheap look at the bytes says which patterns can match at all.
 _NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -162,13 +168,36 @@ def _hidden_text(data: bytes) -> bool:
     return all(c.isprintable() or c in "\t\r\n" for c in text) and bool(scan(data, False))
 
 
+def _wrapped(text: str):
+    """(start, end, base64) of lines of one length that follow each other, with a shorter
+    last line and without it."""
+    for m in _WRAPPED.finditer(text):
+        cuts = [m.start(), *(x for b in _BREAK.finditer(text, m.start(), m.end()) for x in b.span()), m.end()]
+        lines = list(zip(cuts[::2], cuts[1::2]))
+        at = 0
+        while at < len(lines):
+            begin, size = lines[at][0], lines[at][1] - lines[at][0]
+            last = at
+            while last + 1 < len(lines) and text[lines[last][1] - 1] != "=" \
+                    and lines[last + 1][1] - lines[last + 1][0] == size:
+                last += 1
+            if size >= LEAST_BASE64:
+                ends = [last] if last > at else []
+                if last + 1 < len(lines) and text[lines[last][1] - 1] != "=" \
+                        and lines[last + 1][1] - lines[last + 1][0] < size:
+                    ends.insert(0, last + 1)
+                for end in ends:
+                    yield begin, lines[end][1], "".join(text[a:b] for a, b in lines[at:end + 1])
+            at = last + 1
+
+
 def scan(raw: bytes, nested: bool = True) -> list[tuple[str, int, int]]:
     """Spans of one text (UTF-8), sorted."""
     lower = raw.lower()
     hex_map = raw.translate(_HEX_MAP)
     has_names = any(name in lower for name in _NAMES)
     has_hex = b"h" * LEAST_HEX in hex_map
-    has_token = b"t" * LEAST_HEX in raw.translate(_TOKEN_MAP)
+    has_token = b"t" * LEAST_BASE64 in raw.translate(_TOKEN_MAP)
     has_access, has_pem = b"AKIA" in raw, b"-----BEGIN " in raw
     if not (has_names or has_hex or has_token or has_access or has_pem):
         return []
@@ -207,6 +236,15 @@ def scan(raw: bytes, nested: bool = True) -> list[tuple[str, int, int]]:
         for m in _SIGNED.finditer(text):
             if m.end() - m.start() >= LEAST_HEX and is_signed_token(m[0]):
                 add("jwt", m)
+        for begin, end, body in _wrapped(text):
+            if any(a <= begin < b for a, b in blocks):
+                continue
+            data = _unbase64(body)
+            kind = "key" if data and is_private_key(data) else \
+                "encoded" if data and nested and _hidden_text(data) else None
+            if kind:
+                found.add((kind, begin, end))
+                blocks.append((begin, end))
         for m in _BASE64.finditer(text):
             if any(a <= m.start() < b for a, b in blocks):
                 continue
