@@ -14,7 +14,8 @@ forms, footers and reader comments, each with its label by construction.
 Defined results: null and empty pages have an empty text; scripts, styles,
 comments and the document head never are text; character references are decoded;
 white space in a block (``br`` included) becomes one space; blocks are joined by a line
-feed; repeated rows get equal results; without a usable training page the generated
+feed; formulas, drawings, listings (``xmp``, as they are written), ``object`` and
+``noscript`` content are text like any other; repeated rows get equal results; without a usable training page the generated
 templates are filled with placeholder words.
 """
 
@@ -42,10 +43,14 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt "
     "fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html "
     "legend li main menu nav ol optgroup option p pre search section select summary table tbody "
-    "td tfoot th thead tr ul".split())
+    "td tfoot th thead tr ul xmp".split())
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style textarea title noscript iframe xmp template svg math object".split())
+# Content up to the end tag is no markup; without one it is the rest of the page, as in browsers.
+RAW_TAGS = frozenset("script style textarea title iframe".split())
+# Skipped to the end tag if there is one.
+SKIPPED_TAGS = RAW_TAGS | {"template"}
+_END_OF = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE | re.ASCII) for tag in SKIPPED_TAGS | {"xmp"}}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)>?", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|data-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -85,7 +90,6 @@ def blocks(page: str) -> list[Block]:
     pieces: list[str] = []
     linked: list[str] = []
     anchor = False
-    lower = None
 
     def flush() -> None:
         if pieces:
@@ -127,11 +131,11 @@ def blocks(page: str) -> list[Block]:
                     close(len(tags) - 1 - tags[::-1].index(tag))
             continue
         attributes = match[3] or ""
-        if (tag in RAW_TAGS or tag == "head") and not attributes.endswith("/"):
+        if (tag in SKIPPED_TAGS or tag == "head") and not attributes.endswith("/"):
             if tag != "head":
-                lower = lower if lower is not None else page.lower()
-                end = lower.find(f"</{tag}", position)
-                position = size if end < 0 else end
+                end = _END_OF[tag].search(page, position)
+                if end or tag in RAW_TAGS:
+                    position = end.start() if end else size
             continue
         if tag == "br":
             pieces.append(" ")
@@ -158,6 +162,9 @@ def blocks(page: str) -> list[Block]:
                 tags.append(tag)
                 elements.append(element)
                 labels.append(label)
+            if tag == "xmp" and (end := _END_OF[tag].search(page, position)):
+                pieces.append(html.escape(page[position:end.start()], False))
+                position = end.start()
         elif tag in VOID_TAGS and tag != "wbr":
             pass
     flush()

@@ -280,6 +280,18 @@ def test_pages(spark):
     assert pagetext.train(df.limit(0)).extract(page).startswith("T & U")
 
 
+def test_blocks_skip_no_text():
+    texts = lambda page: [b.text for b in pagetext.blocks(page)]
+    assert texts("<p>so <math><mi>E</mi>=<mi>mc</mi></math> holds</p>") == ["so E=mc holds"]
+    assert texts("<p>a</p><xmp>if <b> & c</xmp><p>z</p>") == ["a", "if <b> & c", "z"]
+    assert texts("<p>a <object data=x>instead</object> b</p><noscript>plain</noscript>") == ["a instead b", "plain"]
+    assert texts("<p><svg><title>t</title><text>label</text></svg></p>") == ["label"]
+    for tag in ("math", "xmp", "object", "noscript", "template", "svg"):
+        assert "kept" in " ".join(texts(f"<{tag}><p>kept</p>"))
+    assert texts("<p>\u0130\u0130\u0130\u0130 a</p><SCRIPT>x</Script>b<p>c</p>") == ["\u0130\u0130\u0130\u0130 a", "b", "c"]
+    assert texts("a<script>s = '</scripts>'</script>b<template><p>t</p></template>c") == ["abc"]
+
+
 def test_components(spark):
     from strata.llm.components import components
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7), (None, 3)], "a long, b long")
