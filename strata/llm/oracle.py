@@ -76,8 +76,44 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 20
 """
 
+_WORDS_11 = r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+'"
+
+OP11 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(CAST(lang AS VARCHAR), '') AS lang,
+         coalesce(CAST(source AS VARCHAR), '') AS source,
+         regexp_extract_all({_folded('text')}, {_WORDS_11}) AS w FROM documents),
+t AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs
+      FROM (SELECT r, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+k AS (SELECT lang, term, CAST(sum(n) AS HUGEINT) AS lang_n FROM t GROUP BY ALL HAVING sum(docs) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM k GROUP BY lang),
+c AS (SELECT g.lang, g.source, k.term, k.lang_n, CAST(coalesce(t.n, 0) AS HUGEINT) AS n
+      FROM g JOIN k USING (lang) LEFT JOIN t ON t.lang = g.lang AND t.source = g.source AND t.term = k.term),
+s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+p AS (SELECT c.lang, c.source, c.term, c.n,
+             CAST(1 + 1000000000 * (c.n + 1) // (s.total + v.v) AS HUGEINT) AS p,
+             CAST(1 + 1000000000 * (c.lang_n + 1) // (v.lang_total + v.v) AS HUGEINT) AS q
+      FROM c JOIN s USING (lang, source) JOIN v USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT l.lang, l.source, r.source AS item, sum((l.p - r.p) * (l.p - r.p) // r.p) AS value
+             FROM p l JOIN p r ON l.lang = r.lang AND l.term = r.term AND l.source <> r.source
+             GROUP BY ALL) x
+    ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+parts AS (
+  SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLE: dict[str, str] = {
     "op1_benchmark_decontamination": OP1,
     "op4_substring_dedup": OP4,
     "op6_exact_top_k_search": OP6,
+    "op11_source_divergence_audit": OP11,
 }

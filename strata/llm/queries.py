@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontamination, langid, lines, pagetext, quality, secrets, simhash, substrings, topk
+from strata.llm import bpe, decontamination, divergence, langid, lines, pagetext, quality, secrets, simhash, substrings, topk
 from strata.llm.common import read_tables
 
 QUALITY_FROM = 0.3
@@ -115,6 +115,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_chars", F.length("text").cast("bigint"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, = read_tables(spark, sf_dir, "documents")
+    return divergence.audit(docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1,
     "op2_bpe_encoding_and_decoding": op2,
@@ -126,4 +131,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": op8,
     "op9_quality_classifier": op9,
     "op10_html_extraction": op10,
+    "op11_source_divergence_audit": op11,
 }
