@@ -111,9 +111,32 @@ FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY valu
 WHERE part = 'pair' OR rank <= 200
 """
 
+OP12 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+m AS (
+  SELECT *, length(role) + length(text) + 15          -- '### ', ':' and line feed, line feed and '</turn>', line feed
+    + length(role || text) - length(replace(role || text, '\', ''))
+    + (length(text) - length(replace(text, '</turn>', ''))) // 7
+    + length(text) - length(regexp_replace(text, '#+', '#', 'g'))
+    + (length(role) - length(replace(role, '</turn>', ''))) // 7
+    + length(role) - length(regexp_replace(role, '#+', '#', 'g'))
+    + length(role) - length(replace(role, chr(10), '')) AS chars
+  FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM m GROUP BY conv_id
+"""
+
 ORACLE: dict[str, str] = {
     "op1_benchmark_decontamination": OP1,
     "op4_substring_dedup": OP4,
     "op6_exact_top_k_search": OP6,
     "op11_source_divergence_audit": OP11,
+    "op12_chat_formatting": OP12,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontamination, divergence, langid, lines, pagetext, quality, secrets, simhash, substrings, topk
+from strata.llm import bpe, chat, decontamination, divergence, langid, lines, pagetext, quality, secrets, simhash, substrings, topk
 from strata.llm.common import read_tables
 
 QUALITY_FROM = 0.3
@@ -120,6 +120,19 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(docs)
 
 
+CONTROL_STRINGS = r"\### Assistant: </turn> ok"      # fixed value: text of conversation -7
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, = read_tables(spark, sf_dir, "conversations")
+    planted = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_STRINGS).alias("text"))
+    turns = turns.select("conv_id", "turn", "role", "text").unionByName(planted)
+    return chat.digests(chat.format_chats(chat.events_of(turns))).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1,
     "op2_bpe_encoding_and_decoding": op2,
@@ -132,4 +145,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9,
     "op10_html_extraction": op10,
     "op11_source_divergence_audit": op11,
+    "op12_chat_formatting": op12,
 }
