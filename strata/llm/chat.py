@@ -104,7 +104,8 @@ class _Part:
         self.turns += 1
 
 
-def _render(batches: Iterable[pa.RecordBatch], conv_type: pa.DataType, learned: str) -> Iterator[pa.RecordBatch]:
+def _render(batches: Iterable[pa.RecordBatch], conv_type: pa.DataType, learned: str,
+            part_chars: int = PART_CHARS) -> Iterator[pa.RecordBatch]:
     """Columns conv, key (of the message), kind, role, text, in order: rows of parts."""
     from pyspark import TaskContext
 
@@ -141,7 +142,7 @@ def _render(batches: Iterable[pa.RecordBatch], conv_type: pa.DataType, learned:
             if part is None or row_conv != conv or row_key != key:
                 if part is not None:
                     close_message()
-                    if row_conv != conv or part.size >= PART_CHARS:
+                    if row_conv != conv or part.size >= part_chars:
                         close_part()
                     if row_conv != conv:
                         number = 0
@@ -160,9 +161,10 @@ def _render(batches: Iterable[pa.RecordBatch], conv_type: pa.DataType, learned:
 
 def format_chats(log: DataFrame, *, conv_col: str = "conv_id", message_col: str = "message", seq_col: str = "seq",
                  kind_col: str = "kind", role_col: str = "role", text_col: str = "text",
-                 learned: str = LEARNED) -> DataFrame:
+                 learned: str = LEARNED, part_chars: int = PART_CHARS) -> DataFrame:
     """The formatted conversations of an event log, in parts: conv (the conversation), chunk,
-    part, text, loss (spans of the mask, code points of the part's text) and turns."""
+    part, text, loss (spans of the mask, code points of the part's text) and turns. A part
+    ends with the turn that brings it to ``part_chars`` characters."""
     spark = log.sparkSession
     prepare(spark)
     names = {"conv": conv_col, "message": message_col, "seq": seq_col, "kind": kind_col, "role": role_col,
@@ -176,7 +178,7 @@ def format_chats(log: DataFrame, *, conv_col: str = "conv_id", message_col: str
     arrow_type = to_arrow_type(conv_type)
     return rows.select("conv", key, F.col("kind").cast("string"), F.col("role").cast("string"),
                        F.col("text").cast("string")).mapInArrow(
-        lambda batches: _render(batches, arrow_type, learned), _PARTS.format(conv=conv_type.simpleString()))
+        lambda batches: _render(batches, arrow_type, learned, part_chars), _PARTS.format(conv=conv_type.simpleString()))
 
 
 def read_back(text: str, loss: list[dict]) -> tuple[list[tuple[str, str]], list[str]]:

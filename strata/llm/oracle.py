@@ -133,10 +133,58 @@ SELECT conv_id, count(*) AS n_turns,
 FROM m GROUP BY conv_id
 """
 
+
+def _op13(rounds: int = 2, parts: int = 16, entries: int = 64) -> str:
+    """Every round is a distance of every part to every entry of its position."""
+    def nearest(books: str) -> str:
+        return f"""
+  SELECT vec_id, label, part, w, arg_min(entry, d * {entries} + entry) AS entry, min(d) AS d
+  FROM (SELECT p.r, p.vec_id, p.label, p.part, p.w, b.entry,
+               list_sum(list_transform(range(1, len(p.w) + 1),
+                                       lambda i: (p.w[i] - b.w[i]) * (p.w[i] - b.w[i]))) AS d
+        FROM p JOIN {books} b USING (part))
+  GROUP BY r, vec_id, label, part, w"""
+
+    steps = [f"""
+v AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, e) - 1 AS r, vec_id, label, e
+  FROM (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+        FROM embeddings WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+p AS (
+  SELECT r, vec_id, label, part, e[part * len(e) // {parts} + 1:(part + 1) * len(e) // {parts}] AS w
+  FROM (SELECT *, unnest(range({parts})) AS part FROM v)),
+b0 AS (SELECT part, r AS entry, w FROM p WHERE r < {entries})"""]
+    for i in range(1, rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED ({nearest(f'b{i - 1}')}),
+m{i} AS (
+  SELECT part, entry, list(x ORDER BY place) AS w
+  FROM (SELECT part, entry, place, CAST(floor_div AS BIGINT) AS x
+        FROM (SELECT part, entry, place,
+                     (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS floor_div
+              FROM (SELECT part, entry, unnest(w) AS x, unnest(range(len(w))) AS place FROM a{i})
+              GROUP BY part, entry, place))
+  GROUP BY part, entry),
+b{i} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m{i}.w, b{i - 1}.w) AS w FROM b{i - 1} LEFT JOIN m{i} USING (part, entry))""")
+    return f"""
+WITH {','.join(steps)},
+z AS MATERIALIZED ({nearest(f'b{rounds}').replace('SELECT vec_id', 'SELECT r, vec_id', 1)}),
+c AS (
+  SELECT vec_id, label, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY part) AS code,
+         CAST(sum(d) AS BIGINT) AS error FROM z GROUP BY r, vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(w, ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256
+FROM c
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_benchmark_decontamination": OP1,
     "op4_substring_dedup": OP4,
     "op6_exact_top_k_search": OP6,
     "op11_source_divergence_audit": OP11,
     "op12_chat_formatting": OP12,
+    "op13_vector_code_compression": _op13(),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, decontamination, divergence, langid, lines, pagetext, quality, secrets, simhash, substrings, topk
+from strata.llm import bpe, chat, codes, decontamination, divergence, langid, lines, pagetext, quality, secrets, simhash, substrings, topk
 from strata.llm.common import read_tables
 
 QUALITY_FROM = 0.3
@@ -133,6 +133,14 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(chat.events_of(turns))).withColumnRenamed("conv", "conv_id")
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, = read_tables(spark, sf_dir, "embeddings")
+    coded, books = codes.compress(vectors)
+    hex_code = F.array_join(F.transform("code", lambda i: F.lpad(F.lower(F.hex(i)), 2, "0")), "")
+    return coded.select(F.col("id").alias("vec_id"), hex_code.alias("code"), "error", "label_error",
+                        F.lit(books.digest() if books else "").alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1,
     "op2_bpe_encoding_and_decoding": op2,
@@ -146,4 +154,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_extraction": op10,
     "op11_source_divergence_audit": op11,
     "op12_chat_formatting": op12,
+    "op13_vector_code_compression": op13,
 }
