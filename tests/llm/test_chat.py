@@ -88,11 +88,15 @@ def test_hot_conversation_over_many_parts_and_ranges(spark):
              "b": [("user", "y" * 300)], "z": [("user", ""), ("assistant", "#" * 9)]}
     rows = [(c, i, r, t) for c, ts in turns.items() for i, (r, t) in enumerate(ts)]
     table = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merge)
+    spark.conf.set(merge, "false")                  # small ranges stay apart
     for size in (200, chat.PART_CHARS):
         parts = chat.format_chats(chat.events_of(table), part_chars=size)
         hot = parts.where("conv = 'hot'").agg(F.countDistinct("chunk"), F.count("*"), F.sum("turns")).first()
         assert hot[0] > 1 and hot[2] == 600 and (hot[1] > 100) == (size == 200)
         assert read_digests(parts) == {c: digest_of(ts) for c, ts in turns.items()}
+    spark.conf.set(merge, before)
 
 
 def test_parts_of_long_conversations():
