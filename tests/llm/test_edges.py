@@ -100,6 +100,23 @@ def test_lines(spark, clash):
     assert none.count() == 0
 
 
+def test_edited_lines_of_every_length(spark):
+    """One character changed, or lines cut short by one, from a few characters to many."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzéß漢😀"
+    pairs = [("the council has voted new funds for schools today", "the council has voted new funds for schools todey")]
+    for size in [*range(9, 16), 40, 60, 100, 126, 127, 128, 129, 159, 160, 161, 162, 400]:
+        line = "".join(rng.choice(letters) for _ in range(size))
+        pairs.append((line, line[:-1]))
+        if size >= 60:
+            at = size // 2
+            pairs.append((line[::-1], line[::-1][:at] + "-" + line[::-1][at + 1:]))
+    docs = table(spark, [(i, x) for i, x in enumerate(y for pair in pairs for y in pair)])
+    out, name = lines.dedup_lines(docs)
+    cut = {r.doc_id for r in out.where(f"`{name}`.n_removed > 0").select("doc_id").collect()}
+    assert cut == {2 * i + 1 for i in range(len(pairs))}
+
+
 def test_templated_lines_against_all_pairs(spark):
     """Lines of one template share bands with all others; each has one near copy."""
     rng = random.Random(3)
