@@ -7,7 +7,7 @@ page); the CRF labels the sequence as main text or not, by Viterbi.
 
 The CRF is trained by gradient on its log-likelihood. Its labelled pages are a bounded
 sample of the table's pages that mark their article themselves (``article`` or
-``main``), and, so that it knows pages that don't, the sampled texts set again into
+``main``), of each its first ``PAGE_BLOCKS`` blocks, and, so that it knows pages that don't, the sampled texts set again into
 generated templates: plain ``div`` layouts, menus, headers, sidebars, notices, adverts,
 forms, footers and reader comments, each with its label by construction.
 
@@ -24,7 +24,9 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,7 @@ from strata.llm.common import arrow_column, prepare
 
 SAMPLE_PAGES = 200
 GENERATED = 500
+PAGE_BLOCKS, RUN_BLOCKS = 1024, 128     # of a labelled page that training looks at, and at once
 STEPS, RATE, DECAY = 120, 0.15, 1e-3
 _CACHED_PATHS = 20_000
 
@@ -196,12 +199,17 @@ def _is_heading(block: Block) -> bool:
     return bool(block.path) and block.path[-1].split(" ")[0] in ("h1", "h2")
 
 
-def page_features(found: list[Block]) -> list[tuple[tuple[str, ...], list[str]]]:
-    out, heading = [], False
+# Words by which a heading announces reader comments (fixed values).
+_COMMENTS = re.compile(r"\b(comments?|responses|replies|discussion|kommentare?|antworten|commentaires?|réponses|"
+                       r"comentarios?|respuestas)\b", re.IGNORECASE)
+
+
+def page_features(found: list[Block]) -> Iterator[tuple[tuple[str, ...], list[str]]]:
+    heading, comments = False, False
     for i, block in enumerate(found):
         heading = heading or _is_heading(block)
-        out.append((block.path, text_features(block, i, len(found), heading)))
-    return out
+        comments = comments or block.words <= 4 and _COMMENTS.search(block.text) is not None
+        yield block.path, text_features(block, i, len(found), heading) + [f"after comments {comments}"]
 
 
 class Crf:
@@ -247,23 +255,37 @@ class Crf:
         return "\n".join(b.text for b, y in zip(found, self.decode(found)) if y)
 
 
+def _sequences(pages: list[list[Block]]) -> list[tuple[list, list[int], bool]]:
+    """Training sequences (features, labels, whether the page starts here): the first
+    ``PAGE_BLOCKS`` blocks of each page, in runs of at most ``RUN_BLOCKS``."""
+    out = []
+    for page in pages:
+        known = list(islice(page_features(page), PAGE_BLOCKS))
+        for at in range(0, len(known), RUN_BLOCKS):
+            some = known[at:at + RUN_BLOCKS]
+            out.append((some, [b.label or 0 for b in page[at:at + len(some)]], at == 0))
+    return out
+
+
 def fit(pages: list[list[Block]], *, steps: int = STEPS, rate: float = RATE, decay: float = DECAY) -> Crf:
-    """Maximum likelihood by Adam, all pages at once (padded to the longest)."""
-    pages = [p for p in pages if p]
+    """Maximum likelihood by Adam, all sequences at once. Beyond a sequence's end the forward
+    scores stay and the backward scores are zero."""
+    runs = _sequences([p for p in pages if p])
     number: dict[str, int] = {}
-    page_of, slot, ids, length = [], [], [], [len(p) for p in pages]
-    for i, page in enumerate(pages):
-        for j, (path, names) in enumerate(page_features(page)):
+    run_of, slot, ids, length = [], [], [], np.array([len(r) for r, _, _ in runs])
+    for i, (run, _, _) in enumerate(runs):
+        for j, (path, names) in enumerate(run):
             index = [number.setdefault(n, len(number)) for n in path_features(path) + names]
             ids += index
-            page_of += [i] * len(index)
+            run_of += [i] * len(index)
             slot += [j] * len(index)
-    n, longest = len(pages), max(length)
-    cell, ids = np.array(page_of) * longest + np.array(slot), np.array(ids)
+    n, longest = len(runs), int(length.max())
+    cell, ids = np.array(run_of) * longest + np.array(slot), np.array(ids)
     gold = np.zeros((n, longest), np.int64)
-    live = np.arange(longest) < np.array(length)[:, None]
-    for i, page in enumerate(pages):
-        gold[i, :len(page)] = [b.label or 0 for b in page]
+    live = np.arange(longest) < length[:, None]
+    first = np.array([f for _, _, f in runs])[:, None]
+    for i, (run, labels, _) in enumerate(runs):
+        gold[i, :len(run)] = labels
     hot = np.eye(2)[gold] * live[..., None]
     both = live[:, 1:]
     gold_steps = np.einsum("nta,ntb->ab", hot[:, :-1] * both[..., None], hot[:, 1:])
@@ -274,23 +296,25 @@ def fit(pages: list[list[Block]], *, steps: int = STEPS, rate: float = RATE, dec
         w, start, step = theta[:-6].reshape(-1, 2), theta[-6:-4], theta[-4:].reshape(2, 2)
         emit = np.stack([np.bincount(cell, w[ids, y], n * longest) for y in (0, 1)], 1).reshape(n, longest, 2)
         forward, backward = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
-        forward[:, 0] = start + emit[:, 0]
+        forward[:, 0] = start * first + emit[:, 0]
         for t in range(1, longest):
-            forward[:, t] = lse(forward[:, t - 1, :, None] + step, 1) + emit[:, t]
+            before = forward[:, t - 1]
+            forward[:, t] = np.where(live[:, t, None], lse(before[:, :, None] + step, 1) + emit[:, t], before)
         for t in range(longest - 2, -1, -1):
             ahead = lse(step + (emit[:, t + 1] + backward[:, t + 1])[:, None, :], 2)
             backward[:, t] = np.where(both[:, t, None], ahead, 0)
-        last = forward[np.arange(n), np.array(length) - 1]
-        total = lse(last, 1)[:, None, None]
-        p = np.exp(forward + backward - total) * live[..., None]
-        pair = np.exp(forward[:, :-1, :, None] + step + (emit + backward)[:, 1:, None, :] - total[..., None])
-        expected = (pair * both[..., None, None]).sum((0, 1))
+        total = lse(forward[:, -1], 1)[:, None, None]
+        p = np.exp(np.minimum(forward + backward - total, 0)) * live[..., None]
+        pair = forward[:, :-1, :, None] + step + (emit + backward)[:, 1:, None, :] - total[..., None]
+        expected = (np.exp(np.minimum(pair, 0)) * both[..., None, None]).sum((0, 1))
         error = (p - hot).reshape(-1, 2)
         gradient = np.concatenate([
             np.stack([np.bincount(ids, error[cell, y], len(number)) for y in (0, 1)], 1).ravel(),
-            (p[:, 0] - hot[:, 0]).sum(0), (expected - gold_steps).ravel()]) / n + decay * theta
+            ((p[:, 0] - hot[:, 0]) * first).sum(0), (expected - gold_steps).ravel()]) / n + decay * theta
         m, v = 0.9 * m + 0.1 * gradient, 0.99 * v + 0.01 * gradient ** 2
         theta = theta - rate * (m / (1 - 0.9 ** it)) / (np.sqrt(v / (1 - 0.99 ** it)) + 1e-8)
+    if not np.isfinite(theta).all():
+        raise FloatingPointError("weights of the page model are not finite")
     w = theta[:-6].reshape(-1, 2)
     return Crf({name: (float(w[i, 0]), float(w[i, 1])) for name, i in number.items()},
                theta[-6:-4], theta[-4:].reshape(2, 2))
@@ -320,7 +344,7 @@ def generated_page(rng: random.Random, texts: list[str]) -> str:
     listed = lambda: "<ul>" + "".join(f"<li>{link()}</li>" for _ in range(rng.randint(2, 8))) + "</ul>"
 
     def other(kind: str) -> str:
-        name = rng.choice(_OTHER[kind])
+        name = rng.choice(_OTHER.get(kind, [""]))
         tags = {"menu": ["nav", "div", "ul"], "header": ["header", "div"], "footer": ["footer", "div"],
                 "sidebar": ["aside", "div", "section"], "form": ["form"], "comments": ["section", "div", "ol"],
                 }.get(kind, ["div", "section", "p", "aside"])
@@ -342,13 +366,19 @@ def generated_page(rng: random.Random, texts: list[str]) -> str:
             row = rng.choice(["li", "div", "article"]) if tag != "ol" else "li"
             inside = rng.choice(["", f"<h3>{short()}</h3>"]) + "".join(
                 f'<{row} class="comment"><b>{short()}</b> <p>{some()}</p></{row}>' for _ in range(rng.randint(1, 4)))
+        elif kind == "readers":           # comments without a name, under a heading
+            said = rng.choice(["Comments", "3 comments", "Kommentare", "Commentaires", "Comentarios", "Responses"])
+            row = rng.choice(["li", "div", "p"])
+            inside = f"<{rng.choice(['h2', 'h3', 'h4', 'p'])}>{said}</h4></h3></h2>" + "".join(
+                f"<{row}>{rng.choice(['', f'<b>{short()}</b> '])}{some()}</{row}>" for _ in range(rng.randint(1, 4)))
+            mark = ""
         elif kind == "share":
             inside = " ".join(link() for _ in range(3))
         else:
             inside = rng.choice([some(), some()] + ([f"<p>{some()}</p>"] if tag != "p" else []))
         return f'<{tag} {mark} data-label="0">{inside}</{tag}>'
 
-    def body() -> str:
+    def body() -> list[str]:
         parts = [f"<h1>{short()}</h1>"] if rng.random() < 0.9 else []
         for _ in range(rng.randint(1, 9)):
             kind = rng.random()
@@ -364,17 +394,22 @@ def generated_page(rng: random.Random, texts: list[str]) -> str:
                 parts.append(f"<div>{text()}</div>")
             else:
                 parts.append(other(rng.choice(["advert", "share", "sidebar", "form", "notice"])))
-        return "".join(parts)
+        if rng.random() < 0.15:
+            parts.append(other("readers"))
+        return parts
 
-    wrap = rng.choice(["article", "article", "main", "section", "div", "div", "td"])
+    wrap = rng.choice(["article", "article", "main", "section", "div", "div", "td", ""])
     mark = f'class="{rng.choice(_CONTENT)}"' if wrap in ("div", "td") or rng.random() < 0.4 else ""
-    main = f'<{wrap} {mark} data-label="1">{body()}</{wrap}>'
+    if wrap:
+        main = f'<{wrap} {mark} data-label="1">{"".join(body())}</{wrap}>'
+    else:                                 # the article's blocks stand in the body
+        main = "".join(p if "data-label" in p else re.sub(r"^<(\w+)", r'<\1 data-label="1"', p) for p in body())
     if wrap == "td":
         main = f"<table><tr>{main}</tr></table>"
-    elif rng.random() < 0.3:
+    elif wrap and rng.random() < 0.3:
         main = f'<{rng.choice(["main", "div"])}>{main}</div></main>'
     before = [other(k) for k in ("notice", "header", "menu", "advert", "form") if rng.random() < 0.5]
-    after = [other(k) for k in ("share", "comments", "sidebar", "advert", "form", "notice", "footer") if rng.random() < 0.5]
+    after = [other(k) for k in ("share", "comments", "readers", "sidebar", "advert", "form", "notice", "footer") if rng.random() < 0.5]
     rng.shuffle(before)
     return f'<html><body data-label="0">{"".join(before)}{main}{"".join(after)}</body></html>'
 

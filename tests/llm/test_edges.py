@@ -297,6 +297,32 @@ def test_pages(spark):
     assert pagetext.train(df.limit(0)).extract(page).startswith("T & U")
 
 
+def test_long_page_leaves_the_model_finite():
+    """One page of 5,000 blocks among the labelled ones; templates that training does not make."""
+    rng = random.Random(1)
+    text = lambda: " ".join(rng.choice("wind river council votes again on new plans for old town".split())
+                            for _ in range(rng.randint(8, 30))) + "."
+    plain = lambda n: f"<html><body><nav><a href=x>Home</a></nav><article>{''.join(f'<p>{text()}</p>' for _ in range(n))}" \
+                      "</article><footer>&copy; x</footer></body></html>"
+    found = [pagetext._marked(pagetext.blocks(plain(n))) for n in [5000, *[6] * 20]]
+    texts = sorted({b.text for f in found for b in f if b.words > 3})[:500]
+    made = [pagetext.blocks(pagetext.generated_page(rng, texts)) for _ in range(300)]
+    model = pagetext.fit(found + made)
+    weights = [x for pair in model.weights.values() for x in pair]
+    assert all(x == x and abs(x) < 1e6 for x in weights)
+    page = plain(4)
+    assert model.extract(page).count("\n") == 3
+    inside = [text() for _ in range(4)]
+    bare = "<html><body><div><a href=a>Home</a> <a href=b>News</a></div><h1>Old town plans</h1>" + \
+        "".join(f"<p>{t}</p>" for t in inside) + "<div>&copy; 2020 x</div></body></html>"
+    assert all(t in model.extract(bare) for t in inside) and "Home" not in model.extract(bare)
+    said = [text() for _ in range(2)]
+    unnamed = "<html><body><article><h1>T</h1>" + "".join(f"<p>{t}</p>" for t in inside) + \
+        "<div><h3>Comments</h3>" + "".join(f"<div><b>Ann</b> {t}</div>" for t in said) + "</div></article></body></html>"
+    got = model.extract(unnamed)
+    assert all(t in got for t in inside) and not any(t in got for t in said)
+
+
 def test_blocks_skip_no_text():
     texts = lambda page: [b.text for b in pagetext.blocks(page)]
     assert texts("<p>so <math><mi>E</mi>=<mi>mc</mi></math> holds</p>") == ["so E=mc holds"]
