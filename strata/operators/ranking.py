@@ -35,13 +35,15 @@ def rank_within(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
 
 def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, output: str,
                 method: str = "rank", descending: bool = True,
-                slice_rows: int = SLICE_ROWS) -> DataFrame:
+                slice_rows: int = SLICE_ROWS, repeatable: bool = False) -> DataFrame:
     """Exact ``rank`` / ``dense_rank`` per group, with no task holding a whole group.
 
     One path at every size:
 
     1. the input is stored once, so that the values ranked and the values joined
-       back are the same bits (a sum of doubles may differ between two runs);
+       back are the same bits (a sum of doubles may differ between two runs). An input
+       that gives the same values each time (``repeatable``: counts over stored tables)
+       is read twice instead, and only its collapsed values are stored;
     2. rows collapse to one per (group, value) with their count (partial
        aggregation, so a hot value costs one row per task);
     3. the collapsed rows are range-partitioned by (group, value) at sampled
@@ -60,10 +62,11 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
         raise ValueError("rank_values supports 'rank' and 'dense_rank'")
     keys = list(partition_by)
     v, n, s = "__rank_value", "__rank_rows", "__rank_slice"
-    df = store(df, "rank-input")
+    df = df if repeatable else store(df, "rank-input")
     values = df.groupBy(*keys, F.col(order_by).alias(v)).agg(F.count(F.lit(1)).alias(n))
-    # the stored input bounds the number of its values (its count is in the file footers)
-    slices = max(1, -(-df.count() // slice_rows))
+    values = store(values, "rank-collapsed") if repeatable else values
+    # what is stored bounds the number of values (its count is in the file footers)
+    slices = max(1, -(-(values if repeatable else df).count() // slice_rows))
     if slices > 1:
         values = values.repartitionByRange(slices, *keys, _order(v, descending))
         values = store(values.withColumn(s, F.spark_partition_id()), "rank-values")
@@ -83,6 +86,9 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
         values = _join_on_keys(values, broadcast_if_small(offsets), unit)
         position = position + F.col("__offset")
     ranked = values.select(*keys, v, position.cast("int").alias(output))
+    if repeatable:
+        # few rows, if they are: the input then needs no shuffle
+        ranked = broadcast_if_small(ranked)
     return _join_on_keys(df, ranked, keys, value=(order_by, v)).drop(v)
 
 
@@ -99,9 +105,10 @@ def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def global_rank(df: DataFrame, order_by: str, output: str, method: str = "rank",
-                descending: bool = True, slice_rows: int = SLICE_ROWS) -> DataFrame:
+                descending: bool = True, slice_rows: int = SLICE_ROWS,
+                repeatable: bool = False) -> DataFrame:
     """Table-wide ``rank`` / ``dense_rank``: ``rank_values`` with one group."""
-    return rank_values(df, [], order_by, output, method, descending, slice_rows)
+    return rank_values(df, [], order_by, output, method, descending, slice_rows, repeatable)
 
 
 def top_k(df: DataFrame, order_by: Sequence[Column | str], k: int) -> DataFrame:

@@ -65,6 +65,7 @@ def drivers_without_title(career: DataFrame, champions: DataFrame) -> DataFrame:
     """Drivers with at least one win who never appear among the champions,
     ranked table-wide by wins (rank: gaps after ties)."""
     candidates = exclude_keys(career, champions, "driver_id").filter(F.col("total_wins") > 0)
-    ranked = global_rank(candidates, "total_wins", "rank_by_wins", "rank")
+    # wins are counts over stored tables: the same each time they are read
+    ranked = global_rank(candidates, "total_wins", "rank_by_wins", "rank", repeatable=True)
     return ranked.select("driver_id", "full_name", "total_wins", "total_points",
                          "rank_by_wins")

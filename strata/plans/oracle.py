@@ -11,6 +11,8 @@ NULLS LAST).
 
 from __future__ import annotations
 
+from strata.plans import robust
+
 SEASON = "CAST(year({c}) * 12 + month({c}) - 1 AS INTEGER)"
 ROUND = "CAST(day({c}) AS INTEGER)"
 
@@ -299,17 +301,18 @@ FROM fact_results GROUP BY driver_id""", "fact_results"),
                                "season_champions"),
     # windows
     "season_standings_dense_rank": table("constructor_standings"),
-    "standings_fractional_points": with_ctes("""
+    "standings_fractional_points": with_ctes(f"""
 SELECT *, CAST(dense_rank() OVER (PARTITION BY race_year ORDER BY total_points DESC NULLS LAST)
                AS INTEGER) AS season_rank
-FROM (SELECT d.race_year, l.l_suppkey AS constructor_id, c.constructor_name,
-             CAST(sum(CAST(l.l_extendedprice AS DECIMAL(18, 4))) AS DOUBLE) AS total_points,
-             CAST(sum(CAST(l.l_linenumber = 1 AS INTEGER)) AS INTEGER) AS wins,
-             CAST(sum(CAST(l.l_linenumber IN (1, 2, 3) AS INTEGER)) AS INTEGER) AS podiums
-      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-      LEFT JOIN dim_races d ON l.l_orderkey = d.race_id
-      JOIN dim_constructors c ON l.l_suppkey = c.constructor_id
-      GROUP BY 1, 2, 3)""", "dim_races", "dim_constructors"),
+FROM (SELECT race_year, constructor_id, constructor_name, {robust.EXACT} AS total_points, wins, podiums
+      FROM (SELECT d.race_year, l.l_suppkey AS constructor_id, c.constructor_name,
+                   sum(CAST(CAST(l.l_extendedprice AS DOUBLE) * 8796093022208.0 AS HUGEINT)) AS s,
+                   CAST(sum(CAST(l.l_linenumber = 1 AS INTEGER)) AS INTEGER) AS wins,
+                   CAST(sum(CAST(l.l_linenumber IN (1, 2, 3) AS INTEGER)) AS INTEGER) AS podiums
+            FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+            LEFT JOIN dim_races d ON l.l_orderkey = d.race_id
+            JOIN dim_constructors c ON l.l_suppkey = c.constructor_id
+            GROUP BY 1, 2, 3))""", "dim_races", "dim_constructors"),
     "entity_row_number": table("leaders"),
     "consecutive_streaks": table("constructor_dominance"),
     "driver_season_streaks": with_ctes("""
@@ -362,3 +365,5 @@ WHERE race_year = (SELECT max(race_year) FROM constructor_standings) AND season_
     "dash_top5_of_season": with_ctes(
         "SELECT * FROM constructor_standings WHERE season_rank <= 5", "constructor_standings"),
 }
+
+ORACLE.update(robust.oracle(with_ctes))

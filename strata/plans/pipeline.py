@@ -9,6 +9,7 @@ dim_drivers.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import project, with_audit_column
+from strata.operators.audit import assert_single_dimension_keys, key_audit
 from strata.plans import gold, schemas, silver
 from strata.sinks.tables import create_layer, drop_layer, drop_table, overwrite_table
+from strata.sinks.versions import refresh_table
 from strata.sources.csv import header_errors, ingest, read_csv_positional, source_path
 from strata.sources.tables import read_table, sql_readback
 
@@ -34,6 +37,7 @@ class PipelineConfig:
     source_root: str = ""
     warehouse_root: str = ""
     id_type: T.DataType = schemas.INT     # LongType() for keys beyond 32 bits
+    versioned: bool = False               # refreshes that leave the old rows readable if they fail
 
     def __post_init__(self):
         object.__setattr__(self, "env", self.env.strip().lower())
@@ -42,6 +46,8 @@ class PipelineConfig:
             raise ValueError(f"env must be one of {ENVIRONMENTS}, got {self.env!r}")
         if not self.catalog_base:
             raise ValueError("catalog_base must not be empty")
+        if self.versioned and not self.warehouse_root:
+            raise ValueError("versioned tables need a warehouse_root")
 
     def database(self, layer: str) -> str:
         if layer not in LAYERS:
@@ -66,7 +72,7 @@ def create_layers(spark: SparkSession, config: PipelineConfig) -> None:
 def reset_layers(spark: SparkSession, config: PipelineConfig) -> None:
     """Drop every table, then each layer database (CASCADE removes managed files)."""
     rejected = tuple(f"{e}_rejected" for e in ENTITIES)
-    for layer, names in (("bronze", ENTITIES + rejected), ("silver", tuple(schemas.SILVER_COLUMNS)),
+    for layer, names in (("bronze", ENTITIES + rejected), ("silver", (*schemas.SILVER_COLUMNS, AUDIT_TABLE)),
                          ("gold", tuple(schemas.GOLD_COLUMNS))):
         if spark.catalog.databaseExists(config.database(layer)):
             for name in names:
@@ -74,6 +80,16 @@ def reset_layers(spark: SparkSession, config: PipelineConfig) -> None:
         drop_layer(spark, config.database(layer))
 
 
+def write_table(df: DataFrame, config: PipelineConfig, layer: str, name: str,
+                partition_by: Sequence[str] = (), contract: T.StructType | None = None) -> None:
+    """Replace a table's rows: in place, or as a new version behind its name."""
+    table = config.table(layer, name)
+    if config.versioned:
+        refresh_table(df, table, f"{config.location(layer)}/{name}", partition_by=partition_by, contract=contract)
+    else:
+        overwrite_table(df, table, partition_by=partition_by, contract=contract)
+
+
 # ---- bronze -------------------------------------------------------------------------
 def bronze_frame(spark: SparkSession, config: PipelineConfig, entity: str) -> DataFrame:
     raw = read_csv_positional(spark, source_path(config.source_root, entity),
@@ -91,12 +107,11 @@ def load_bronze(spark: SparkSession, config: PipelineConfig, entity: str) -> dic
     foreign keys included."""
     target = config.table("bronze", entity)
     with header_errors():
-        overwrite_table(bronze_frame(spark, config, entity), target,
-                        partition_by=schemas.BRONZE_PARTITIONS.get(entity, ()),
-                        contract=schemas.bronze_schema(entity, config.id_type))
+        write_table(bronze_frame(spark, config, entity), config, "bronze", entity,
+                    schemas.BRONZE_PARTITIONS.get(entity, ()), schemas.bronze_schema(entity, config.id_type))
     written = read_table(spark, target)
     own, foreign = schemas.bronze_keys(entity)
-    overwrite_table(ingest(written, own).rejects, quarantine_table(config, entity))
+    write_table(ingest(written, own).rejects, config, "bronze", f"{entity}_rejected")
     counts = written.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in own + foreign])
     return counts.first().asDict()
 
@@ -152,6 +167,23 @@ ORDER = [
 ]
 
 
+AUDIT_TABLE = "key_audit"
+
+
+def audit_keys(spark: SparkSession, config: PipelineConfig) -> None:
+    """Orphans, nulls and duplicates of the keys of both facts, one pass over each, written to
+    ``key_audit`` of the silver layer. Raises if a dimension's key repeats."""
+    dims = {k: (_read(spark, config, "silver", d), k) for k, d in (
+        ("race_id", "dim_races"), ("driver_id", "dim_drivers"), ("constructor_id", "dim_constructors"),
+        ("status_id", "dim_status"))}
+    results = key_audit(_read(spark, config, "bronze", "results"), ["result_id"], dims)
+    standings = key_audit(_read(spark, config, "bronze", "driver_standings"), ["driverStandingsId"],
+                          {"raceId": dims["race_id"], "driverId": dims["driver_id"]})
+    write_table(results.withColumn("fact", F.lit("results")).unionByName(
+        standings.withColumn("fact", F.lit("driver_standings"))), config, "silver", AUDIT_TABLE)
+    assert_single_dimension_keys(_read(spark, config, "silver", AUDIT_TABLE), ["result_id", "driverStandingsId"])
+
+
 def run_pipeline(spark: SparkSession, config: PipelineConfig) -> dict[str, dict[str, int]]:
     """Full refresh of all 20 tables; returns the null keys of each ingest."""
     create_layers(spark, config)
@@ -171,7 +203,10 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> dict[str, dict[
             df = gold_specs[name]()
             contract = schemas.gold_schema(name, config.id_type)
             parts = schemas.GOLD_PARTITIONS.get(name, ())
-        overwrite_table(df, config.table(layer, name), partition_by=parts, contract=contract)
+        write_table(df, config, layer, name, parts, contract)
+        if name == "dim_races":
+            # all dimensions are there, no fact is joined yet
+            audit_keys(spark, config)
     return rejects
 
 
@@ -216,11 +251,12 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--warehouse-root", required=True, help="folder for layer databases")
     parser.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
     parser.add_argument("--wide-keys", action="store_true", help="64-bit keys")
+    parser.add_argument("--versioned", action="store_true", help="a failed refresh leaves the old rows readable")
     parser.add_argument("--reset", action="store_true", help="drop the three layers and exit")
     args = parser.parse_args(argv)
     config = PipelineConfig(env=args.env, catalog_base=args.catalog_base,
                             source_root=args.source_root, warehouse_root=args.warehouse_root,
-                            id_type=T.LongType() if args.wide_keys else schemas.INT)
+                            id_type=T.LongType() if args.wide_keys else schemas.INT, versioned=args.versioned)
     spark = build_session(args.master)
     if args.reset:
         reset_layers(spark, config)

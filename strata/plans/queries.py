@@ -19,7 +19,7 @@ from strata.functions.columns import (clean_null_markers, cast_columns, rename,
 from strata.operators.enrich import distinct_keys, duplicate_keys
 from strata.operators.ranking import global_rank, sorted_for_read, top_k, top_k_per_group
 from strata.operators.streaks import with_row_number
-from strata.plans import dashboard, gold, schemas, silver
+from strata.plans import dashboard, gold, robust, schemas, silver
 from strata.session import scratch_path, store
 from strata.sinks.tables import (check_contract, create_layer, current_namespace, drop_layer,
                                  drop_table, list_layers, overwrite_table, preview, use_layer)
@@ -85,7 +85,7 @@ def normalize_null_markers(spark, sf_dir):
 
 def csv_infer_schema(spark, sf_dir):
     path = export_races_csv(_t(spark, sf_dir))
-    inferred = profile_csv(spark, path, sampling_ratio=0.1)
+    inferred = profile_csv(spark, path)
     return read_csv_positional(spark, path, inferred).select(
         "raceId", "year", "round", "circuitId", "name", "date", "time")
 
@@ -334,3 +334,5 @@ QUERIES: dict[str, Query] = {
     "dash_top5_chosen_season": dash_top5_chosen_season,
     "dash_top5_selected_season": dash("top_n_of_latest_season", "constructor_standings"),
 }
+
+QUERIES.update(robust.QUERIES)

@@ -38,7 +38,9 @@ def create_layer(spark: SparkSession, database: str, location: str | None = None
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {quote_name(table)}")
+    """Drop a table, or the view that a versioned table is."""
+    is_view = spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "VIEW"
+    spark.sql(f"DROP {'VIEW' if is_view else 'TABLE'} IF EXISTS {quote_name(table)}")
 
 
 def drop_layer(spark: SparkSession, database: str) -> None:

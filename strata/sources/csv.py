@@ -13,6 +13,7 @@ key is null are counted as rejects instead of disappearing silently.
 from __future__ import annotations
 
 import csv as _csv
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -20,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sources.profile import column_counts, profile_schema, read_text_columns, with_types
+
 
 class HeaderMismatch(ValueError):
     pass
@@ -48,14 +51,15 @@ def check_header(header: list[str], schema: T.StructType) -> None:
 
 def read_csv_positional(spark: SparkSession, path: str, schema: T.StructType, *,
                         header: bool = True, verify_header: bool = True,
-                        null_value: str | None = None) -> DataFrame:
-    """``spark.read.schema(s).option("header", ...).csv(path)``, PERMISSIVE.
+                        null_value: str | None = None, multi_line: bool = False) -> DataFrame:
+    """``spark.read.schema(s).option("header", ...).csv(path)``, PERMISSIVE. Records with line
+    feeds inside quotes need ``multi_line``, which reads a file in one task.
 
     ``null_value`` (e.g. ``\\N``) turns that marker into null at parse time; by
     default markers are kept as text (raw layer) and cleaned later.
     """
     names = schema.fieldNames()
-    options = {"header": header, "mode": "PERMISSIVE", "multiLine": False}
+    options = {"header": header, "mode": "PERMISSIVE", "multiLine": multi_line}
     if header and verify_header:
         found = read_header(spark, path)
         check_header(found, schema)
@@ -80,14 +84,99 @@ def header_errors():
         raise
 
 
-def profile_csv(spark: SparkSession, path: str, sampling_ratio: float = 0.01) -> T.StructType:
-    """Opt-in schema inference on a sample, for exploring a new export only.
+def profile_csv(spark: SparkSession, path: str | list[str], markers: tuple[str, ...] = ()) -> T.StructType:
+    """Schema of a new export, from the counts of a full pass: every value of the file fits it."""
+    counts = column_counts(read_text_columns(spark, path), markers)
+    return profile_schema(with_types(counts, markers_are_null=bool(markers)))
 
-    Inference costs an extra pass over the sampled input and is never used to
-    load data.
-    """
-    return (spark.read.option("header", True).option("inferSchema", True)
-            .option("samplingRatio", sampling_ratio).csv(path).schema)
+
+# ---- values that do not parse ------------------------------------------------------
+RAW_LINE, UNPARSED = "_raw_line", "_unparsed"
+
+
+def read_csv_lanes(spark: SparkSession, path: str, schema: T.StructType, *,
+                   null_value: str | None = None) -> DataFrame:
+    """The typed columns, ``_raw_line`` (the record as it stands in the file, where a value of
+    it did not parse) and ``_unparsed`` (names of the columns that are null for that reason;
+    a null of any other column stood in the file).
+
+    Only damaged records are split a second time. Store the result before reading single
+    columns of it: Spark parses no column that a query does not ask for."""
+    names = schema.fieldNames()
+    found = read_header(spark, path)
+    check_header(found, schema)
+    extra = [T.StructField(h.strip(), T.StringType()) for h in found[len(names):]]
+    options = {"header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW_LINE}
+    if null_value is not None:
+        options["nullValue"] = null_value
+    typed = T.StructType([*schema.fields, *extra, T.StructField(RAW_LINE, T.StringType())])
+    rows = spark.read.schema(typed).options(**options).csv(path)
+    texts = ", ".join(f"`{n}` string" for n in [*names, *(f.name for f in extra)])
+    token = F.from_csv(F.col(RAW_LINE), texts, {"nullValue": null_value} if null_value is not None else {})
+    tokens = "__tokens"
+    rows = rows.withColumn(tokens, F.when(F.col(RAW_LINE).isNotNull(), token))
+    failed = F.filter(F.array(*[F.when(F.col(f"`{n}`").isNull() & F.col(f"{tokens}.`{n}`").isNotNull(), F.lit(n))
+                                for n in names]), lambda n: n.isNotNull())
+    return rows.withColumn(UNPARSED, failed).select(*names, RAW_LINE, UNPARSED)
+
+
+def null_causes(lanes: DataFrame) -> DataFrame:
+    """One row per column of stored lanes: column, null_in_file, null_by_parse."""
+    names = [c for c in lanes.columns if c not in (RAW_LINE, UNPARSED)]
+    by_parse = lambda n: F.array_contains(UNPARSED, n)
+    structs = [F.struct(F.lit(n).alias("column"),
+                        F.count_if(F.col(f"`{n}`").isNull() & ~by_parse(n)).alias("null_in_file"),
+                        F.count_if(by_parse(n)).alias("null_by_parse")) for n in names]
+    return lanes.agg(F.array(*structs).alias("all")).select(F.inline("all"))
+
+
+# ---- files whose columns moved -----------------------------------------------------
+def _headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Header of every file below the paths: one line a file, read on the driver like a listing."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    files = []
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        fs = where.getFileSystem(conf)
+        listing = fs.listFiles(where, True)
+        while listing.hasNext():
+            status = listing.next()
+            hidden = any(part[:1] in ("_", ".") for part in status.getPath().toString()[len(path):].split("/"))
+            if status.getLen() and not hidden:
+                files.append((fs, status.getPath()))
+
+    def first_line(file) -> tuple[str, str | None]:
+        fs, where = file
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(where), "UTF-8"))
+        try:
+            return where.toString(), reader.readLine()
+        finally:
+            reader.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        return {name: [h.strip() for h in next(_csv.reader([line.lstrip("\ufeff")]))]
+                for name, line in pool.map(first_line, files) if line}
+
+
+def read_csv_by_header(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
+    """Files with the schema's columns in any order and others between: files of one header are
+    read together in their own order, then mapped by name. A missing or repeated column raises
+    ``HeaderMismatch`` and names a file."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for name, header in sorted(_headers(spark, [paths] if isinstance(paths, str) else paths).items()):
+        lacking = [n for n in schema.fieldNames() if header.count(n) != 1]
+        if lacking:
+            raise HeaderMismatch(f"{name}: columns {lacking} are missing or repeated in {header}")
+        groups.setdefault(tuple(header), []).append(name)
+    kinds = {f.name: f.dataType for f in schema.fields}
+    out = spark.createDataFrame([], schema)
+    for header, files in groups.items():
+        # a column of no name, or of a name used twice, is read under its position
+        own = T.StructType([T.StructField(h if h in kinds else f"_{i}", kinds.get(h, T.StringType()))
+                            for i, h in enumerate(header)])
+        out = out.unionByName(spark.read.schema(own).option("header", True).option("mode", "PERMISSIVE")
+                              .csv(files).select(*schema.fieldNames()))
+    return out
 
 
 def reject_condition(keys: list[str]) -> Column:
