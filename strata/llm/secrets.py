@@ -29,6 +29,8 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,11 +50,14 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _HEX_ANY = re.compile(r"[0-9A-Fa-f]+")
-_SIGNED = re.compile(r"[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.DOTALL)
+# Runs are taken whole and never given back ("++"), and none starts inside another, so that
+# a text is read a fixed number of times however long its runs are.
+_SIGNED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+")
+_PEM_MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]*PRIVATE KEY)(?=-----)")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % LEAST_BASE64)
-_BREAK = re.compile(r"[ \t]*(?:\r?\n|\\r\\n|\\n)[ \t]*")
-_WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{%d,}(?:%s[A-Za-z0-9+/_-]+={0,2})+" % (LEAST_BASE64, _BREAK.pattern))
+_BREAK = re.compile(r"[ \t]*+(?:\r?\n|\\r\\n|\\n)[ \t]*+")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}+(?:%s[A-Za-z0-9+/_-]++={0,2})+"
+                      % (LEAST_BASE64, _BREAK.pattern))
 
 # A cheap look at the bytes says which patterns can match at all.
 _NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -191,6 +196,40 @@ def _wrapped(text: str):
             at = last + 1
 
 
+def _pem_blocks(text: str):
+    """(start, end, body) of armoured keys: each BEGIN mark with the next END mark of its label,
+    unless it lies in the block before."""
+    ends: dict[str, list[int]] = {}
+    begins = []
+    for m in _PEM_MARK.finditer(text):
+        if m[1] == "END":
+            ends.setdefault(m[2], []).append(m.start())
+        else:
+            begins.append((m.start(), m.end() + 5, m[2]))
+    done = 0
+    for start, inside, label in begins:
+        if start < done:
+            continue
+        places = ends.get(label, [])
+        at = bisect_left(places, inside)
+        if at < len(places):
+            done = places[at] + len("-----END -----") + len(label)
+            yield start, done, text[inside:places[at]]
+
+
+class _Covered:
+    """Whether a place lies in one of some spans."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        spans = sorted(spans)
+        self.starts = [a for a, _ in spans]
+        self.ends = list(accumulate((b for _, b in spans), max))
+
+    def __contains__(self, place: int) -> bool:
+        at = bisect_right(self.starts, place)
+        return at > 0 and place < self.ends[at - 1]
+
+
 def scan(raw: bytes, nested: bool = True) -> list[tuple[str, int, int]]:
     """Spans of one text (UTF-8), sorted."""
     lower = raw.lower()
@@ -198,7 +237,7 @@ def scan(raw: bytes, nested: bool = True) -> list[tuple[str, int, int]]:
     has_names = any(name in lower for name in _NAMES)
     has_hex = b"h" * LEAST_HEX in hex_map
     has_token = b"t" * LEAST_BASE64 in raw.translate(_TOKEN_MAP)
-    has_access, has_pem = b"AKIA" in raw, b"-----BEGIN " in raw
+    has_access, has_pem = b"AKIA" in raw, b"-----BEGIN " in raw and b"-----END " in raw
     if not (has_names or has_hex or has_token or has_access or has_pem):
         return []
     text = raw.decode("utf-8", "replace")
@@ -226,18 +265,18 @@ def scan(raw: bytes, nested: bool = True) -> list[tuple[str, int, int]]:
                     add("encoded", m)
     blocks = []
     if has_pem:
-        for m in _PEM.finditer(text):
-            body = "".join(line for line in m[2].replace("\\n", "\n").split() if ":" not in line)
-            data = _unbase64(body)
+        for begin, end, inside in _pem_blocks(text):
+            data = _unbase64("".join(line for line in inside.replace("\\n", "\n").split() if ":" not in line))
             if data and is_private_key(data):
-                add("key", m)
-                blocks.append(m.span())
+                found.add(("key", begin, end))
+                blocks.append((begin, end))
     if has_token:
         for m in _SIGNED.finditer(text):
             if m.end() - m.start() >= LEAST_HEX and is_signed_token(m[0]):
                 add("jwt", m)
+        armoured, until = _Covered(blocks), 0
         for begin, end, body in _wrapped(text):
-            if any(a <= begin < b for a, b in blocks):
+            if begin in armoured or begin < until:
                 continue
             data = _unbase64(body)
             kind = "key" if data and is_private_key(data) else \
@@ -245,8 +284,10 @@ def scan(raw: bytes, nested: bool = True) -> list[tuple[str, int, int]]:
             if kind:
                 found.add((kind, begin, end))
                 blocks.append((begin, end))
+                until = max(until, end)          # spans come in order of their start
+        covered = _Covered(blocks)
         for m in _BASE64.finditer(text):
-            if any(a <= m.start() < b for a, b in blocks):
+            if m.start() in covered:
                 continue
             data = _unbase64(m[0])
             if data and is_private_key(data):

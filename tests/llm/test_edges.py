@@ -160,6 +160,28 @@ def test_substrings(spark, clash):
     assert none.count() == 0
 
 
+@pytest.mark.parametrize("text", [
+    "a" * 1_000_000, "A9/_-" * 200_000, "0" * 1_000_000, "ab.cd" * 200_000, "x" * 500_000 + "\n" + "y" * 500_000,
+    "-----BEGIN RSA PRIVATE KEY-----" * 100_000, "-----END RSA PRIVATE KEY-----BEGIN RSA PRIVATE KEY" * 20_000,
+    ("Q" * 20 + "\n") * 50_000, ("Q" * 20 + "\n" + "R" * 30 + "\n") * 20_000, "token " + " " * 1_000_000,
+    "AKIA" * 250_000, ("aB3" * 7 + " ") * 45_000, "-----BEGIN " + "A " * 400_000])
+def test_secrets_in_linear_time(text):
+    import time
+    start = time.process_time()
+    secrets.scan(text.encode())
+    assert time.process_time() - start < max(1, 1.5 * len(text) / 1_000_000)
+
+
+def test_secret_spans_of_nested_marks():
+    key = base64.b64encode(bytes.fromhex("3011020100300506032b65700405") + b"\x04\x03abc").decode()
+    assert secrets.is_private_key(base64.b64decode(key))
+    one = f"-----BEGIN PRIVATE KEY-----{key}-----END PRIVATE KEY-----"
+    stray = "-----END PRIVATE KEY"
+    for text in (one, stray + one, "-----BEGIN RSA PRIVATE KEY-----" + one, one + one[5:]):
+        spans = [(a, b) for k, a, b in secrets.scan(text.encode()) if k == "key"]
+        assert (text.index(one), text.index(one) + len(one)) in spans
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_secrets(spark, clash):
     docs = table(spark, [*TEXTS, (20, 'é token = "abcdef012345" ' + LONG)], clash)
