@@ -24,10 +24,10 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import arrow_column, free_name, prepare
+from strata.llm.common import Scratch, arrow_column, free_name, prepare, small, stored
 from strata.llm.components import components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -117,28 +117,34 @@ def _bucket_links(batches, radius: int):
         yield flush(held_units, held)
 
 
-def links(prints: DataFrame, *, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+def links(prints: DataFrame, *, radius: int = RADIUS, block: int = BLOCK, scratch: Scratch | None = None) -> DataFrame:
     """Links (a, b) that connect the different fingerprints of column f exactly as
-    all pairs within the radius do."""
+    all pairs within the radius do. A bucket of two is told by its least and greatest
+    fingerprint; only members of larger ones are looked up."""
+    keep = scratch.store if scratch else stored
     masks = covering_masks(radius)
     rows = prints.select("f", F.posexplode(F.array(
         *[F.col("f").bitwiseAND(F.lit(m).cast("bigint")) for m in masks])).alias("t", "key"))
-    together = Window.partitionBy("t", "key")
-    rows = rows.withColumn("n", F.count("*").over(together)).where("n > 1")
+    shared = keep(rows.groupBy("t", "key").agg(
+        F.count("*").alias("n"), F.min("f").alias("a"), F.max("f").alias("b")).where("n > 1"), "simhash-buckets")
+    two = shared.where("n = 2").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select("a", "b")
+    large = keep(shared.where("n > 2").select("t", "key", "n"), "simhash-large-buckets")
     blocks = F.ceil(F.col("n") / block).cast("int")
     mine = F.pmod(F.xxhash64("f"), blocks).cast("int")
-    unit = rows.withColumn("blocks", blocks).withColumn("mine", mine).withColumn(
+    unit = rows.join(small(large), ["t", "key"]).withColumn("blocks", blocks).withColumn("mine", mine).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         F.xxhash64("t", "key", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit"), "f")
-    return unit.repartition("unit").sortWithinPartitions("unit").mapInArrow(
-        lambda batches: _bucket_links(batches, radius), "a long, b long").distinct()
+    found = unit.repartition("unit").sortWithinPartitions("unit").mapInArrow(
+        lambda batches: _bucket_links(batches, radius), "a long, b long")
+    return two.unionByName(found).distinct()
 
 
 def _rooted(marked: DataFrame, *, radius: int, block: int) -> DataFrame:
     """f, root (the same for all fingerprints of a component) and component (its smallest
     id) for rows with id and f."""
     nodes = marked.groupBy("f").agg(F.min("id").alias("least"))
-    group = components(links(nodes.select("f"), radius=radius, block=block))
+    with Scratch(marked.sparkSession) as scratch:
+        group = components(links(nodes.select("f"), radius=radius, block=block, scratch=scratch))
     root = nodes.join(group, nodes.f == group.node, "left").select(
         "f", "least", F.coalesce("component", "f").alias("root"))
     named = root.groupBy("root").agg(F.min("least").alias("component"))
@@ -165,14 +171,26 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
              radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id (null ids
     last), of those the one whose id and text hash least; columns unchanged. Rows that
-    are alike in id and text are one document."""
+    are alike in id and text are one document.
+
+    Texts stay where they are: the keys of the rows to drop travel to them while they
+    are counted to be few (beyond that, both are shuffled). Only rows that repeat id and text move."""
     prepare(docs.sparkSession)
-    k1, k2 = free_name("_key", docs), free_name("_key2", docs)
+    k1, k2, kind = free_name("_key", docs), free_name("_key2", docs), free_name("_kind", docs)
     key = _row_key(docs, id_col, text_col)
     marked = docs.select(docs[id_col].alias("id"), key[0].alias("k1"), key[1].alias("k2"),
                          fingerprint_column(docs[text_col], shingle).alias("f")).checkpoint()
+    named = marked.groupBy("k1", "k2", "f", "id").agg(F.count("*").alias("n")).join(
+        _rooted(marked, radius=radius, block=block).select("f", "root"), "f")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "k1", "k2"))
-    chosen = marked.join(_rooted(marked, radius=radius, block=block).select("f", "root"), "f") \
-        .groupBy("root").agg(first.alias("first")).select(F.col("first.k1").alias(k1), F.col("first.k2").alias(k2))
-    kept = docs.withColumns({k1: key[0], k2: key[1]}).join(chosen.hint("shuffle_hash"), [k1, k2], "left_semi")
-    return kept.dropDuplicates([k1, k2]).drop(k1, k2)
+    chosen = named.groupBy("root").agg(first.alias("first"))
+    # 0: a row to drop, 1: one of several that are alike
+    stays = (F.col("k1") == F.col("first.k1")) & (F.col("k2") == F.col("first.k2"))
+    moved = named.join(chosen, "root").select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.when(
+        ~stays, 0).when(F.col("n") > 1, 1).alias(kind)).where(F.col(f"`{kind}`").isNotNull())
+    moved = stored(moved, "simhash-moved")
+    told = docs.withColumns({k1: key[0], k2: key[1]}).join(small(moved), [k1, k2], "left")
+    kept = told.where(F.col(f"`{kind}`").isNull())
+    if not moved.where(F.col(f"`{kind}`") == 1).isEmpty():
+        kept = kept.unionByName(told.where(F.col(f"`{kind}`") == 1).dropDuplicates([k1, k2]))
+    return kept.drop(k1, k2, kind)
