@@ -38,6 +38,15 @@ CACHED, LONGEST_CACHED = 200_000, 32
 _PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 _SPLIT_IN_FILE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Letters and digits of Unicode 16.0 that 15.1 does not have (first and last code
+# point), and capital letters of 16.0 and 17.0 with their small ones.
+_NEWER_RANGES = """1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D40-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B-1138B
+1138E-1138E 11390-113B5 113B7-113B7 113D1-113D1 113D3-113D3 116D0-116E3 11BC0-11BE0 11BF0-11BF9 13460-143FA 16100-1611D
+16130-16139 16D40-16D6C 16D70-16D79 18CFF-18CFF 1CCF0-1CCF9 1E5D0-1E5ED 1E5F0-1E5FA"""
+_NEWER_CASES = "1C89-1C8A A7CB-0264 A7CC-A7CD A7CE-A7CF A7D2-A7D3 A7D4-A7D5 A7DA-A7DB A7DC-019B"
+_NEWER = frozenset(c for r in _NEWER_RANGES.split() for a, b in [r.split("-")] for c in range(int(a, 16), int(b, 16) + 1))
+_NEWER_LOWER = {int(a, 16): int(b, 16) for a, b in (p.split("-") for p in _NEWER_CASES.split())} | \
+    {c: c + 32 for c in range(0x10D50, 0x10D66)} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
 _SPACE = regex.compile(r"\p{White_Space}+")
 # str.split() also splits at these, which are not white space in Unicode.
 _SEPARATORS = regex.compile("[\x1c-\x1f]")
@@ -145,8 +154,10 @@ class Bpe:
         # One letter at a time: a final sigma is no special case.
         text = text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
         if not text.isascii() and any(unicodedata.category(c) == "Cn" for c in text):
-            # Unassigned characters are no letters, whatever a newer table says.
-            shape = "".join("\ue000" if unicodedata.category(c) == "Cn" else c for c in text)
+            # Unassigned characters are no letters, whatever a newer table says. The library's tables
+            # are some versions ahead of ``unicodedata``.
+            text = text.translate(_NEWER_LOWER)
+            shape = "".join("\ue000" if unicodedata.category(c) == "Cn" and ord(c) not in _NEWER else c for c in text)
             pieces = [text[m.start():m.end()] for m in _PIECES.finditer(shape)]
         else:
             pieces = _PIECES.findall(text)
