@@ -8,7 +8,7 @@ with the largest corrected count wins. The score is its share of all corrected
 counts.
 
 Training counts n-grams per language in Spark over a bounded sample of labelled
-documents (``SAMPLE_DOCS`` a language, chosen by a hash of the id) and keeps the
+documents (``SAMPLE_DOCS`` a language, chosen by a hash of id and text) and keeps the
 ``CAPACITY`` most frequent; an n-gram belongs to the languages in which its relative
 frequency is at least ``LEAST_RATIO`` of its highest. All labelled languages are learned:
 a slot has as many 64-bit words as their bits need.
@@ -172,9 +172,10 @@ def train(docs: DataFrame, may_learn: Column, *, id_col: str = "doc_id", text_co
     if not languages:
         return Filter.of([], 0, np.zeros(0, np.uint64), np.zeros((0, 1), np.uint64), 2)
     number = {name: i for i, name in enumerate(languages)}
-    turn = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
+    turn = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20))
     share = {r["lang"]: min(1 << 20, -(-(sample_docs << 20) // r["count"])) for r in sizes}
     wanted = turn < F.element_at(F.create_map(*[F.lit(x) for p in share.items() for x in p]), F.col("lang"))
+    sample = rows.where(wanted).dropDuplicates(["id", "text", "lang"])      # rows that repeat count once
 
     def count(batches):
         for batch in batches:
@@ -188,7 +189,7 @@ def train(docs: DataFrame, may_learn: Column, *, id_col: str = "doc_id", text_co
                         [pa.array(np.full(len(mine), lang, np.int32)), pa.array(mine.view(np.int64)),
                          pa.array(times.astype(np.int64))], ["lang", "gram", "n"])
 
-    counted = rows.where(wanted).select("text", "lang").mapInArrow(
+    counted = sample.select("text", "lang").mapInArrow(
         count, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).checkpoint()
     totals = {r["lang"]: r["n"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     total = F.element_at(F.create_map(*[F.lit(x) for p in totals.items() for x in p]), F.col("lang")) \

@@ -4,7 +4,7 @@ Features are binned once at quantiles; trees grow level by level from histograms
 of gradients and Hessians and are stored as flat arrays (a complete binary tree of
 fixed depth), so numpy walks all trees for a batch of documents at once.
 
-Training uses at most ``SAMPLE_ROWS`` labelled rows (chosen by a hash of the id), whose
+Training uses at most ``SAMPLE_ROWS`` labelled rows (chosen by hashes of id and text), whose
 feature rows, not texts, come to the driver.
 
 Defined results: null texts count as empty; empty texts have all features 0 and
@@ -151,18 +151,21 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, *, id_col: str
     """Fit on rows of ``labels`` that satisfy ``may_learn``, joined to ``docs`` by id."""
     spark = docs.sparkSession
     prepare(spark)
-    known = labels.where(may_learn & labels[label_col].isNotNull()).select(
-        labels[id_col].alias("id"), (labels[label_col] > 0).cast("int").alias("y"))
-    count = known.count()
-    share = min(1 << 20, -(-(sample_rows << 20) // max(1, count)))
-    # about sample_rows pairs of numbers, whatever the table's size
-    sample = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share)
+    # one label an id, the greatest
+    known = labels.where(may_learn & labels[label_col].isNotNull()).groupBy(labels[id_col].alias("id")).agg(
+        F.max((labels[label_col] > 0).cast("int")).alias("y"))
+    share_of = lambda n: min(1 << 20, -(-(sample_rows << 20) // max(1, n)))
+    # about sample_rows ids, whatever the table's size
+    sample = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share_of(known.count()))
 
     def run(text: pa.Array) -> pa.Array:
         return pa.array(_feature_rows(text), pa.list_(pa.float64()))
 
     joined = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text")).join(
         F.broadcast(sample), "id")
+    # and about as many documents, should ids repeat; rows that repeat count once
+    turn = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20))
+    joined = joined.where(turn < share_of(joined.count())).dropDuplicates(["id", "y", "text"])
     rows = joined.select("id", "y", arrow_column(run, "array<double>")(F.col("text")).alias("x")).toArrow()
     x = rows.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
     y = rows.column("y").to_numpy().astype(float)
