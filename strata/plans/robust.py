@@ -19,6 +19,7 @@ from strata.operators.sketches import distinct_sketches, merged_distinct
 from strata.operators.streaks import consecutive_streaks, with_row_number
 from strata.plans.pipeline import LAYERS, PipelineConfig, create_layers, reset_layers
 from strata.session import scratch_path, store
+from strata.sinks.clustered import row_groups, write_clustered
 from strata.sinks.tables import ContractViolation, create_layer, list_layers, overwrite_table
 from strata.sinks.versions import refresh_table, versions
 from strata.sources.csv import null_causes, read_csv_by_header, read_csv_lanes
@@ -227,7 +228,23 @@ def layers_reset(spark, sf_dir):
     return rows.withColumn("layers_left", F.lit(len(left)))
 
 
+CLUSTER_FROM, CLUSTER_TO = 100, 110
+
+
+def clustered_write(spark, sf_dir):
+    """Results of a few drivers, read from files clustered by driver, and whether these take at most
+    a quarter of the row groups that files in the order of loading take."""
+    fact = _t(spark, sf_dir).stored("fact_results")
+    plain, near = scratch_path(spark, "unclustered"), scratch_path(spark, "clustered")
+    fact.repartition(16).write.parquet(plain)
+    write_clustered(fact, near, ["driver_id", "race_id"], files=16)
+    read = lambda path: row_groups(spark, path, "driver_id", CLUSTER_FROM, CLUSTER_TO)[0]
+    rows = spark.read.parquet(near).where(F.col("driver_id").between(CLUSTER_FROM, CLUSTER_TO))
+    return rows.withColumn("fewer_row_groups", F.lit(4 * read(near) <= read(plain)))
+
+
 QUERIES = {
+    "clustered_write": clustered_write,
     "hot_entity_row_number": hot_entity_row_number,
     "hot_entity_streaks": hot_entity_streaks,
     "hot_key_left_join": hot_key_left_join,
@@ -360,6 +377,9 @@ SELECT o_orderkey AS "raceId", CAST(year(o_orderdate) AS INTEGER) AS year, o_cus
 SELECT driver_id, count(DISTINCT race_id) AS races, TRUE AS within_bound FROM fact_results GROUP BY driver_id""",
                                               "fact_results"),
         "versioned_refresh": with_ctes("SELECT *, 2 AS refused, 2 AS versions_left FROM dim_races", "dim_races"),
+        "clustered_write": with_ctes(f"""
+SELECT *, TRUE AS fewer_row_groups FROM fact_results WHERE driver_id BETWEEN {CLUSTER_FROM} AND {CLUSTER_TO}""",
+                                     "fact_results"),
         "layers_reset": with_ctes("""
 SELECT 'bronze' AS layer, 2 AS tables,
        (SELECT count(*) FROM b_circuits) + (SELECT count(*) FROM b_status) AS rows, 0 AS layers_left

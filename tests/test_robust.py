@@ -200,3 +200,24 @@ def test_refreshes_beside_each_other_are_complete(spark, layer):
     with ThreadPoolExecutor(2) as pool:
         list(pool.map(lambda n: refresh_table(spark.range(n, numPartitions=4), table, location, keep=5), (100, 200)))
     assert spark.table(table).count() in (100, 200)
+
+
+# ---- clustered writes --------------------------------------------------------------
+def test_clustered_files_prune(spark, tmp_path):
+    from strata.sinks.clustered import row_groups, write_clustered
+    hot = F.when(F.col("id") % 3 == 0, 50).otherwise(F.col("id") % 1000)
+    rows = spark.range(30_000).select(hot.cast("int").alias("k"), F.col("id").alias("v"))
+    rows = rows.unionByName(spark.createDataFrame([(None, 1)] * 10, "k int, v long"))
+    near, plain = str(tmp_path / "near"), str(tmp_path / "plain")
+    write_clustered(rows, near, ["k", "v"], files=12)
+    rows.repartition(12).write.parquet(plain)
+    few, many = row_groups(spark, near, "k", 900, 910), row_groups(spark, plain, "k", 900, 910)
+    assert few[0] <= 2 and many[0] == many[1] == 12
+    # the hot value's rows are in several files
+    assert row_groups(spark, near, "k", 50, 50)[0] >= 3
+    a, b = (spark.read.parquet(p).where("k between 900 and 910") for p in (near, plain))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
+    files = {}
+    for r in spark.read.parquet(near).selectExpr("input_file_name() f", "k").collect():
+        files.setdefault(r.f, []).append(-1 if r.k is None else r.k)
+    assert all(x == sorted(x) for x in files.values())
