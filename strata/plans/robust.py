@@ -49,9 +49,10 @@ def hot_entity_row_number(spark, sf_dir):
 
 
 def hot_entity_streaks(spark, sf_dir):
-    """Runs of the hot entity's orders, one in three, as consecutive numbers."""
-    rows = _hot_entities(spark, sf_dir).where("entity = -1 or seq % 2 = 0")
-    rows = rows.withColumn("seq", F.when(F.col("entity") == -1, F.expr("seq div 3")).otherwise(F.expr("seq div 2")))
+    """Runs of the hot entity's orders, one in three, as consecutive numbers; the others' orders
+    in steps of a hundred."""
+    rows = _hot_entities(spark, sf_dir)
+    rows = rows.withColumn("seq", F.when(F.col("entity") == -1, F.expr("seq div 3")).otherwise(F.expr("seq div 100")))
     return consecutive_streaks(rows.distinct(), ["entity"], "seq", slice_rows=SLICE)
 
 
@@ -344,8 +345,8 @@ def oracle(with_ctes: Callable[..., str]) -> dict[str, str]:
 SELECT entity, seq, CAST(row_number() OVER (PARTITION BY entity ORDER BY seq) AS INTEGER) AS row_number
 FROM ({_ENTITIES})""",
         "hot_entity_streaks": f"""
-WITH e AS (SELECT DISTINCT entity, CASE WHEN entity = -1 THEN seq // 3 ELSE seq // 2 END AS seq
-           FROM ({_ENTITIES}) WHERE entity = -1 OR seq % 2 = 0),
+WITH e AS (SELECT DISTINCT entity, CASE WHEN entity = -1 THEN seq // 3 ELSE seq // 100 END AS seq
+           FROM ({_ENTITIES})),
 n AS (SELECT entity, seq, seq - row_number() OVER (PARTITION BY entity ORDER BY seq) AS run FROM e)
 SELECT entity, min(seq) AS streak_start_year, max(seq) AS streak_end_year, CAST(count(*) AS INTEGER) AS streak_length
 FROM n GROUP BY entity, run HAVING count(*) >= 2""",
