@@ -18,7 +18,8 @@ BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound Arrow batches and make sure a shared checkpoint folder is set."""
+    """Bound Arrow batches, for the rest of the session (columns are built before they run), and
+    make sure a shared checkpoint folder is set."""
     ensure_checkpoint_dir(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
