@@ -47,6 +47,14 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, *,
     return F.broadcast(df) if small and not off else df
 
 
+def fits_broadcast(df: DataFrame, rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has only fixed-width columns and its counted ``rows`` stay within the bound."""
+    fixed = all(isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType))
+                for f in df.schema.fields)
+    off = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().startswith("-")
+    return fixed and not off and rows * 16 * len(df.columns) <= max_bytes
+
+
 def _narrow(dim: DataFrame, keys: Sequence[str], columns: Sequence[str] | None) -> DataFrame:
     if columns is None:
         return dim

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.enrich import broadcast_if_small
+from strata.operators.enrich import broadcast_if_small, fits_broadcast
 from strata.session import store
 
 _RANKERS = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}
@@ -66,7 +66,8 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
     values = df.groupBy(*keys, F.col(order_by).alias(v)).agg(F.count(F.lit(1)).alias(n))
     values = store(values, "rank-collapsed") if repeatable else values
     # what is stored bounds the number of values (its count is in the file footers)
-    slices = max(1, -(-(values if repeatable else df).count() // slice_rows))
+    held = (values if repeatable else df).count()
+    slices = max(1, -(-held // slice_rows))
     if slices > 1:
         values = values.repartitionByRange(slices, *keys, _order(v, descending))
         values = store(values.withColumn(s, F.spark_partition_id()), "rank-values")
@@ -86,9 +87,8 @@ def rank_values(df: DataFrame, partition_by: Sequence[str], order_by: str, outpu
         values = _join_on_keys(values, broadcast_if_small(offsets), unit)
         position = position + F.col("__offset")
     ranked = values.select(*keys, v, position.cast("int").alias(output))
-    if repeatable:
-        # few rows, if they are: the input then needs no shuffle
-        ranked = broadcast_if_small(ranked)
+    if repeatable and fits_broadcast(ranked, held):
+        ranked = F.broadcast(ranked)            # the input then needs no shuffle
     return _join_on_keys(df, ranked, keys, value=(order_by, v)).drop(v)
 
 
