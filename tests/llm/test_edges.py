@@ -147,6 +147,25 @@ def test_templated_lines_against_all_pairs(spark):
     assert cut == {i for i in range(len(sets)) if find(i) != i} and len(cut) >= 400
 
 
+def edited_in_their_own_words(groups=20):
+    """Lines of one template and for each a copy with every word edited that is not the template's."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    fixed, out = [word() for _ in range(30)], []
+    for _ in range(groups):
+        own = [word() for _ in range(6)]
+        for words in (own, [w[:3] + "-" + w[4:] for w in own]):
+            out.append(" ".join(fixed[:10] + words[:3] + fixed[10:24] + words[3:] + fixed[24:]))
+    return out
+
+
+def test_lines_of_a_large_bucket_lose_no_pair(spark):
+    texts = edited_in_their_own_words()
+    out, name = lines.dedup_lines(table(spark, list(enumerate(texts))))
+    cut = {r.doc_id for r in out.where(f"`{name}`.n_removed > 0").select("doc_id").collect()}
+    assert cut == set(range(1, len(texts), 2))
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_substrings(spark, clash):
     docs = table(spark, clash=clash)
