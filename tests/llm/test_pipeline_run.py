@@ -1,6 +1,7 @@
 """The whole pipeline on a small table against a plain form of every stage, row by row."""
 
 import itertools
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -128,3 +129,17 @@ def test_letters_that_tables_disagree_about(first, last):
     texts = [f"a{chr(c)}b" for c in range(first, last)]
     for text, coded in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
         assert np.frombuffer(codec.encode(text), "<u4").tolist() == coded.ids
+
+
+def test_line_stage_samples_no_lines(spark):
+    """Lines of one template in large buckets, with copies edited wherever they differ."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    fixed, docs = [word() for _ in range(30)], {}
+    for i in range(20):
+        own = [word() for _ in range(6)]
+        for d, words in ((2 * i, own), (2 * i + 1, [w[:3] + "-" + w[4:] for w in own])):
+            docs[d] = " ".join(fixed[:10] + words[:3] + fixed[10:24] + words[3:] + fixed[24:]) + f"\n{d}"
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, frame, SF).collect()}
+    assert got == without_lines(docs) and all(got[d] == str(d) for d in got if d % 2)
