@@ -2,7 +2,9 @@
 
 ``row_number()`` over an entity's window puts the entity into one task. Here the rows are
 range-partitioned by (entity, value) into slices of about ``SLICE_ROWS``, numbered inside
-(entity, slice), and moved on by the number of the entity's rows in the slices before. As
+(entity, slice), and moved on by the number of the entity's rows in the slices before. A
+slice is a task, so slices beyond ``SLICES`` are longer instead (up to ``SLICE_ROWS``): what the
+driver hears of tasks and of sampled borders does not grow with small slices. As
 slices are ranges, at most one entity crosses the border of two slices: the offsets that are
 not zero are at most one a slice, which bounds their broadcast.
 
@@ -23,6 +25,8 @@ from strata.session import store
 
 # Rows of one entity in one window task.
 SLICE_ROWS = 500_000
+# Slices up to which shorter ones are kept as short as asked.
+SLICES = 256
 
 
 def with_row_number(df: DataFrame, partition_by: Sequence[str], order_by: str,
@@ -34,7 +38,7 @@ def with_row_number(df: DataFrame, partition_by: Sequence[str], order_by: str,
     keys, at, part = list(partition_by), "__row", "__slice"
     rows = store(df.withColumn(at, F.monotonically_increasing_id()), "numbered")
     # at least the rows of any entity (the count is in the file footers)
-    slices = max(1, -(-rows.count() // slice_rows))
+    slices = _slices(rows.count(), slice_rows)
     offsets = None
     if slices > 1:
         ranged = rows.repartitionByRange(slices, *keys, order_by, at)
@@ -53,6 +57,11 @@ def with_row_number(df: DataFrame, partition_by: Sequence[str], order_by: str,
     return numbered.select(*df.columns, output)
 
 
+def _slices(count: int, slice_rows: int) -> int:
+    wanted = max(1, -(-count // slice_rows))
+    return min(wanted, max(SLICES, -(-count // SLICE_ROWS)))
+
+
 def _offsets(rows: DataFrame, keys: Sequence[str], part: str) -> DataFrame:
     """Rows of an entity in earlier slices, where there are any (at most one row a slice)."""
     held = rows.groupBy(*keys, part).agg(F.count(F.lit(1)).alias("__rows"))

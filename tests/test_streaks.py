@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from strata.operators import streaks
 from strata.operators.ranking import global_rank
 from strata.operators.streaks import _offsets, consecutive_streaks, with_row_number
+from strata.session import store
 
 
 def frame(spark, rows=900):
@@ -59,6 +61,17 @@ def test_no_task_holds_the_hot_entity(spark):
     assert rows.groupBy("id", "__slice").count().agg(F.max("count")).first()[0] <= 600
 
 
+def test_short_slices_do_not_make_a_task_each(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(streaks, "SLICES", 8)
+    monkeypatch.setattr(streaks, "store", lambda df, name: held.append(store(df, name)) or held[-1])
+    df = spark.createDataFrame([(i % 3 and 1, i // 2) for i in range(300)], "id int, seq int")
+    got = with_row_number(df, ["id"], "seq", "n", slice_rows=1).collect()
+    assert held[-1].agg(F.count_distinct("__slice")).first()[0] <= 8
+    assert sorted((r.id, r.n) for r in got) == [(0, i) for i in range(1, 101)] + [(1, i) for i in range(1, 201)]
+    assert streaks._slices(10 ** 10, 1000) == 10 ** 10 // streaks.SLICE_ROWS
+
+
 def test_empty_input(spark):
     assert consecutive_streaks(frame(spark).limit(0), ["id", "name"], "seq").count() == 0
 
