@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import arrow_column, prepare
 
 CACHED, LONGEST_CACHED = 200_000, 32
+CACHED_WORDS = 50_000   # fewer: most of them are remembered with their chunk
 
 # The file's own split pattern (fixed value); white space never matches.
 _PIECES = regex.compile(
@@ -67,16 +68,16 @@ class Memo(dict):
     """Results of ``compute`` by key, in two generations of bounded size; long keys
     are not kept."""
 
-    def __init__(self, compute):
+    def __init__(self, compute, most):
         super().__init__()
-        self.compute, self.aged = compute, {}
+        self.compute, self.most, self.aged = compute, most, {}
 
     def __missing__(self, key):
         value = self.aged.get(key)
         if value is None:
             value = self.compute(key)
         if len(key) <= LONGEST_CACHED:
-            if len(self) >= CACHED:
+            if len(self) >= self.most:
                 self.aged = dict(self)
                 self.clear()
             self[key] = value
@@ -110,8 +111,8 @@ class Bpe:
         self.special_at = regex.compile(
             "(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")"
         ) if self.special else None
-        self.chunks = Memo(self._chunk)
-        self.words = Memo(lambda word: array("I", self.merge(word.encode())).tobytes())
+        self.chunks = Memo(self._chunk, CACHED)
+        self.words = Memo(lambda word: array("I", self.merge(word.encode())).tobytes(), CACHED_WORDS)
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in ("special_at", "chunks", "words")}
