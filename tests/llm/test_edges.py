@@ -166,6 +166,19 @@ def test_lines_of_a_large_bucket_lose_no_pair(spark):
     assert cut == set(range(1, len(texts), 2))
 
 
+def test_bitmaps_lose_no_similar_pair(spark):
+    texts = edited_in_their_own_words(8) + ["a", "abcdef", "abcdefg", "漢字かな混じり文"]
+    sets = lines.with_shingles(table(spark, list(enumerate(texts))), "text", "s").select(
+        F.col("doc_id").alias("k1"), "s", F.size("s").alias("size"))
+    held = [set(r.s) for r in sets.orderBy("k1").collect()]
+    pairs = [(a, b) for b in range(len(held)) for a in range(b)]
+    with lines.Scratch(spark) as scratch:
+        got = {tuple(r) for r in lines._sketches_allow(
+            spark.createDataFrame(pairs, "a long, b long"), sets, 0.8, scratch).collect()}
+    alike = {(a, b) for a, b in pairs if len(held[a] & held[b]) >= 0.8 * len(held[a] | held[b])}
+    assert len(alike) >= 8 and alike <= got and len(got) < len(pairs) / 2
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_substrings(spark, clash):
     docs = table(spark, clash=clash)
