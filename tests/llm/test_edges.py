@@ -179,6 +179,24 @@ def test_bitmaps_lose_no_similar_pair(spark):
     assert len(alike) >= 8 and alike <= got and len(got) < len(pairs) / 2
 
 
+def test_near_copies_unlike_their_star(spark, monkeypatch):
+    """They are made one component by some of their pairs; not all pairs are verified."""
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    base = [word() for _ in range(50)]
+    copies = [" ".join(base[:i % 50] + [word()] + base[i % 50 + 1:]) for i in range(100)]
+    texts = spark.createDataFrame(list(enumerate([*copies, " ".join(word() for _ in range(50))])), "k1 long, line string")
+    buckets = texts.select(F.lit(1).cast("long").alias("key"), "k1", F.lit(101).cast("long").alias("n"),
+                           F.lit(100).cast("long").alias("star"), F.lit(1).cast("long").alias("star_order"))
+    compared = []
+    plain = lines._similar
+    monkeypatch.setattr(lines, "_similar", lambda pairs, *a: compared.append(pairs.count()) or plain(pairs, *a))
+    with lines.Scratch(spark) as scratch:
+        found = lines.components(lines._bucket_links(buckets, texts, 0.8, scratch)).collect()
+    assert {(r.node, r.component) for r in found} == {(i, 0) for i in range(100)}
+    assert sum(compared) < 12 * len(copies), compared
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_substrings(spark, clash):
     docs = table(spark, clash=clash)
