@@ -3,6 +3,7 @@ empty tables and columns with clashing names."""
 
 import base64
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from strata.llm import (bpe, decontamination, langid, lines, pagetext, quality, secrets, simhash,
                         substrings, topk)
+from strata.llm.common import SHUFFLE_CLEANUP
 from strata.llm.queries import word_bpe_path
 
 LONG = " ".join(f"w{i}" for i in range(30_000))
@@ -197,6 +199,49 @@ def test_near_copies_unlike_their_star(spark, monkeypatch):
     assert sum(compared) < 12 * len(copies), compared
 
 
+def shuffle_ids(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name.split("_")[1] for name in names if name.startswith("shuffle_")}
+
+
+def test_lines_leave_no_shuffle_files(spark):
+    """The files of a step go when it ends; only the count of the lines to cut comes after the steps."""
+    before, setting = shuffle_ids(spark), spark.conf.get(SHUFFLE_CLEANUP)
+    lines.dedup_lines(table(spark))
+    for _ in range(100):            # executors remove them in the background
+        if len(left := shuffle_ids(spark) - before) <= 1:
+            break
+        time.sleep(0.1)
+    assert len(left) <= 1
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+
+
+def test_bands_go_once_their_buckets_are_found(spark, monkeypatch):
+    held, plain = [], lines.line_links
+    monkeypatch.setattr(lines, "line_links", lambda *a, **k: held.extend(a[2].paths) or plain(*a, **k))
+    lines.dedup_lines(table(spark))
+    names = {path.rpartition("/")[2].rpartition("-")[0] for path in held}
+    assert names == {"line-members", "line-counts"}
+
+
+def test_bands_of_all_places_are_counted(spark):
+    """Lines 2 i and 2 i + 1 share the band at place i of 1, 3 or 14; others share none."""
+    rows = []
+    for count in (1, 3, 14):
+        for place in range(count):
+            for _ in range(2):
+                k = len(rows)
+                rows.append((k, k, 1, [-(k // 2) - 1 if i == place else 100 * k + i for i in range(count)]))
+    pairs = len(rows) // 2
+    rows.append((len(rows), len(rows), 1, [-1000]))
+    nodes = spark.createDataFrame(rows, "k1 long, k2 long, n long, bands array<long>")
+    with lines.Scratch(spark) as scratch:
+        members, counts = lines._members(nodes, scratch)
+        assert {tuple(r) for r in members.collect()} == {(-(k // 2) - 1, k, 2) for k in range(2 * pairs)}
+        assert {r.k1 for r in counts.collect()} == set(range(2 * pairs))
+
+
 @pytest.mark.parametrize("clash", [False, True])
 def test_substrings(spark, clash):
     docs = table(spark, clash=clash)
