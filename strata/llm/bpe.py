@@ -26,14 +26,16 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import arrow_column, prepare
 
-CACHED, LONGEST_CACHED = 200_000, 32
-CACHED_WORDS = 50_000   # fewer: most of them are remembered with their chunk
+CACHED, LONGEST_CACHED = 100_000, 32
+CACHED_WORDS = 200_000   # more: words come back beside other punctuation, and are what takes time
+_LOW = (1 << 32) - 1
 
 # The file's own split pattern (fixed value); white space never matches.
 _PIECES = regex.compile(
@@ -111,11 +113,13 @@ class Bpe:
         self.special_at = regex.compile(
             "(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")"
         ) if self.special else None
+        self.by_id = pa.array([self.strings.get(i) for i in range(max(self.strings) + 1)], pa.large_string())
+        self.known = self.by_id.is_valid().to_numpy(zero_copy_only=False)
         self.chunks = Memo(self._chunk, CACHED)
         self.words = Memo(lambda word: array("I", self.merge(word.encode())).tobytes(), CACHED_WORDS)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("special_at", "chunks", "words")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("special_at", "by_id", "known", "chunks", "words")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -125,28 +129,32 @@ class Bpe:
         """Ids of one word. A queue entry is a rank and, below it, the left position."""
         symbol = [self.inner[b] for b in word]
         symbol[-1] = self.last[word[-1]]
+        rank_of, pairs, merged = self.rank.get, self.pairs, self.merged
+        queue = [(rank << 32) + i for i, (a, b) in enumerate(zip(symbol, symbol[1:]))
+                 if (rank := rank_of((a << 32) + b)) is not None]
+        if not queue:
+            return symbol
         count = len(symbol)
         following = [*range(1, count), -1]
         previous = [*range(-1, count - 1)]
-        rank_of, pairs = self.rank.get, self.pairs
-        queue = [(rank << 32) + i for i, (a, b) in enumerate(zip(symbol, symbol[1:]))
-                 if (rank := rank_of((a << 32) + b)) is not None]
         heapq.heapify(queue)
+        pop, push = heapq.heappop, heapq.heappush
         while queue:
-            rank, left = divmod(heapq.heappop(queue), 1 << 32)
+            entry = pop(queue)
+            rank, left = entry >> 32, entry & _LOW
             right = following[left]
             if right < 0 or symbol[left] < 0 or (symbol[left] << 32) + symbol[right] != pairs[rank]:
                 continue   # stale: one of the two has been merged since
-            new = symbol[left] = self.merged[rank]
+            new = symbol[left] = merged[rank]
             symbol[right] = -1
             after = following[left] = following[right]
             if after >= 0:
                 previous[after] = left
                 if (rank := rank_of((new << 32) + symbol[after])) is not None:
-                    heapq.heappush(queue, (rank << 32) + left)
+                    push(queue, (rank << 32) + left)
             before = previous[left]
             if before >= 0 and (rank := rank_of((symbol[before] << 32) + new)) is not None:
-                heapq.heappush(queue, (rank << 32) + before)
+                push(queue, (rank << 32) + before)
         return [s for s in symbol if s >= 0]
 
     def _chunk(self, chunk: str) -> bytes:
@@ -179,6 +187,17 @@ class Bpe:
         """Vocabulary strings, one space between: these files name no decoder."""
         return " ".join([s for s in map(self.strings.get, ids) if s is not None])
 
+    def decode_lists(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The same for many lists of ids, one after the other: list i ends at ends[i + 1]."""
+        known = (ids >= 0) & (ids < len(self.by_id))
+        known[known] = self.known[ids[known]]
+        if not known.all():
+            ends = np.concatenate([[0], np.cumsum(known)])[ends]
+            ids = ids[known]
+        words = self.by_id.take(pa.array(ids.astype(np.int64)))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words), pa.scalar(" ", pa.large_string()))
+        return joined.cast(pa.string())
+
 
 def _lists(blobs: list[bytes]) -> pa.Array:
     ends = np.cumsum([0, *(len(b) // 4 for b in blobs)])
@@ -205,9 +224,8 @@ def decode(df: DataFrame, vocabulary: str, *, ids_col: str = "ids", to: str = "d
     shared = df.sparkSession.sparkContext.broadcast(Bpe(vocabulary))
 
     def run(ids: pa.Array) -> pa.Array:
-        values, ends = ids.flatten().to_numpy(zero_copy_only=False), _ends(ids)
-        one = shared.value.decode
-        return pa.array([one(values[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
+        values = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+        return shared.value.decode_lists(values, _ends(ids))
 
     return df.withColumn(to, arrow_column(run, "string")(F.col(f"`{ids_col}`")))
 
@@ -227,9 +245,9 @@ def round_trip(df: DataFrame, vocabulary: str, *, text_col: str = "text", to: st
     def run(text: pa.Array) -> pa.Array:
         codec = shared.value
         ids = [codec.encode(t) if t else b"" for t in text.to_pylist()]
-        decoded = [codec.decode(np.frombuffer(i, "<u4").tolist()) for i in ids]
-        return pa.StructArray.from_arrays(
-            [pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], ["ids", "decoded"])
+        ends = np.cumsum([0, *(len(i) // 4 for i in ids)])
+        decoded = codec.decode_lists(np.frombuffer(b"".join(ids), "<u4"), ends)
+        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), decoded], ["ids", "decoded"])
 
     return df.withColumn(to, arrow_column(run, "struct<ids:binary,decoded:string>")(
         df[f"`{text_col}`"].cast("string")))

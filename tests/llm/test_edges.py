@@ -476,3 +476,25 @@ def test_pipeline_stages(spark, tmp_path, clash, empty):
             assert out.columns == docs.columns
         docs = out
     assert (docs.count() == 0) == empty
+
+
+def test_bpe_words_are_remembered_beside_other_punctuation(monkeypatch):
+    """A word that comes back in another chunk is not merged again."""
+    merged, plain = [], bpe.Bpe.merge
+    monkeypatch.setattr(bpe.Bpe, "merge", lambda self, word: merged.append(word) or plain(self, word))
+    codec, letters = bpe.Bpe(word_bpe_path()), str.maketrans("0123456789", "abcdefghij")
+    words = [str(i).translate(letters) for i in range(100_000, 250_000)]
+    plainly = codec.encode(" ".join(words))
+    assert len(merged) == 150_000
+    assert len(codec.encode(" ".join(f"{w}," for w in words))) == len(plainly) + 4 * len(words)
+    assert len(merged) == 150_001       # and the comma
+
+
+def test_bpe_decodes_lists_at_once():
+    import numpy as np
+    codec = bpe.Bpe(word_bpe_path())
+    top = max(codec.strings)
+    lists = [[5, top], [], [top + 1, 7, -1, 2 ** 32 - 1, 9], [top + 9], [3]]
+    ids, ends = np.array(sum(lists, []), "int64"), np.cumsum([0, *map(len, lists)])
+    assert codec.decode_lists(ids, ends).to_pylist() == [codec.decode(x) for x in lists]
+    assert codec.decode_lists(np.frombuffer(b"", "<u4"), np.array([0, 0])).to_pylist() == [""]
