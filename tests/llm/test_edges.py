@@ -498,3 +498,27 @@ def test_bpe_decodes_lists_at_once():
     ids, ends = np.array(sum(lists, []), "int64"), np.cumsum([0, *map(len, lists)])
     assert codec.decode_lists(ids, ends).to_pylist() == [codec.decode(x) for x in lists]
     assert codec.decode_lists(np.frombuffer(b"", "<u4"), np.array([0, 0])).to_pylist() == [""]
+
+
+def test_components_keep_no_round(spark):
+    """A round's edges are counted while they are stored; the round before goes then."""
+    import os
+
+    from strata.llm import components as module
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:") + "/strata-scratch"
+    held = lambda: {f for f in os.listdir(folder) if f.startswith("edges-")} if os.path.isdir(folder) else set()
+    checkpoints = lambda: {d for d in os.listdir(os.path.dirname(folder)) if d.startswith("rdd-")}
+    before, kept, rounds, plain = held(), checkpoints(), [], module._round
+
+    def counted(edges):
+        rounds.append(len(held() - before))
+        return plain(edges)
+
+    module._round = counted
+    try:
+        chain = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+        assert {r.component for r in module.components(chain).collect()} == {0}
+    finally:
+        module._round = plain
+    assert len(rounds) > 2 and max(rounds) == 1
+    assert held() == before and checkpoints() <= kept
