@@ -199,6 +199,51 @@ def test_near_copies_unlike_their_star(spark, monkeypatch):
     assert sum(compared) < 12 * len(copies), compared
 
 
+def test_rest_of_a_group_is_listed_without_its_shingles(spark, monkeypatch):
+    """Pairs of groups that are not huge meet by bitmaps; no shingle is sent or ordered for them."""
+    def none(*_):
+        raise AssertionError("shingles were ordered")
+
+    monkeypatch.setattr(lines, "_by_prefix", none)
+    test_lines_of_a_large_bucket_lose_no_pair(spark)
+
+
+def test_rest_of_huge_groups_meets_by_rare_shingles(spark, monkeypatch):
+    called, plain = [], lines._by_prefix
+    monkeypatch.setattr(lines, "LISTED", 4)
+    monkeypatch.setattr(lines, "_by_prefix", lambda *a: called.append(1) or plain(*a))
+    test_lines_of_a_large_bucket_lose_no_pair(spark)
+    assert called
+
+
+def test_unlike_lines_of_a_bucket_are_not_verified(spark, monkeypatch):
+    """Lines with a passage in common meet their star, but bitmaps rule nearly all of these pairs out."""
+    rng = random.Random(23)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    passage = " ".join(word() for _ in range(12))
+    texts = [" ".join(word() for _ in range(9)) + f" {passage} " + " ".join(word() for _ in range(9)) for _ in range(60)]
+    compared, plain = [], lines._similar
+    monkeypatch.setattr(lines, "_similar", lambda pairs, *a: compared.append(pairs.count()) or plain(pairs, *a))
+    out, name = lines.dedup_lines(table(spark, list(enumerate(texts))))
+    assert out.where(f"`{name}`.n_removed > 0").count() == 0
+    assert sum(compared) < 10, compared
+
+
+def test_bitmaps_are_of_the_shingles(spark):
+    """Of lines of every length; a size may count shingles that repeat."""
+    letters = "abcdefghijklmnopqrstuvwxyzéß漢😀"
+    texts = [(letters * 3)[:n] for n in (1, 4, 5, 6, *range(11, 40), 80)]
+    frame = table(spark, list(enumerate(texts))).select(F.col("doc_id").alias("k1"), F.col("text").alias("line"))
+    sets = {r.k1: set(r.s) for r in lines.with_shingles(frame, "line", "s").collect()}
+    with lines.Scratch(spark) as scratch:
+        for row in lines._line_sketches(frame, scratch).collect():
+            words = [0] * lines.SKETCH
+            for h in sets[row.k1]:
+                words[h >> 6 & lines.SKETCH - 1] |= 1 << (h & 63)
+            assert [row[f"w{i}"] % (1 << 64) for i in range(lines.SKETCH)] == words
+            assert row.bits == sum(w.bit_count() for w in words) and row.size == max(len(texts[row.k1]) - 4, 1)
+
+
 def shuffle_ids(spark):
     files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     names = (files.apply(i).getName() for i in range(files.size()))
